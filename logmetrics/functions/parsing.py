@@ -65,37 +65,51 @@ def application_id(path: Column) -> Column:
     return F.regexp_extract(path, APPLICATION, 0)
 
 
-def cluster_id(path: Column) -> Column:
-    return F.regexp_extract(path, APPLICATION, 1)
+def cluster_id(application: Column) -> Column:
+    """First number of an application id."""
+    return F.substring_index(F.substring_index(application, "_", 2), "_", -1)
 
 
-def app_number(path: Column) -> Column:
-    return F.regexp_extract(path, APPLICATION, 2)
+def app_number(application: Column) -> Column:
+    """Last number of an application id, with its zeros."""
+    return F.substring_index(application, "_", -1)
 
 
 def container_id(path: Column) -> Column:
     return F.regexp_extract(path, CONTAINER, 0)
 
 
-def container_digits(path: Column) -> Column:
+def container_digits(container: Column) -> Column:
     """Container id without its prefix: ``cluster_app_attempt_seq``."""
-    return F.regexp_extract(path, r"container_(\d+_\d+_\d+_\d+)", 1)
+    return F.substring_index(container, "_", -4)
 
 
-def attempt(path: Column) -> Column:
-    return F.regexp_extract(path, CONTAINER, 3)
+def attempt(container: Column) -> Column:
+    return F.substring_index(F.substring_index(container, "_", 4), "_", -1)
 
 
-def container_seq(path: Column) -> Column:
-    return F.regexp_extract(path, CONTAINER, 4)
+def container_seq(container: Column) -> Column:
+    return F.substring_index(container, "_", -1)
 
 
-def container_role(path: Column) -> Column:
+def container_role(container: Column) -> Column:
     """'AM' for an application's first container, 'executor' for the others."""
-    seq = container_seq(path)
+    seq = container_seq(container)
     return F.when(seq == MASTER_CONTAINER, "AM").when(seq != "", "executor")
 
 
+def captures(text: Column, pattern: str, groups: int) -> Column:
+    """The groups of a pattern's first match as an array; '' in it where there is none.
+
+    The pattern runs over the text once, and once more over the match, however
+    many groups it has. Needs two groups or more.
+    """
+    mark = "\u0001"
+    joined = mark.join(f"${i}" for i in range(1, groups + 1))
+    match = F.translate(F.regexp_extract(text, pattern, 0), mark, "\ufffd")
+    return F.split(F.regexp_replace(match, pattern, joined), mark)
+
+
 def cluster_start(cluster: Column) -> Column:
     """A cluster id is the epoch millisecond at which the cluster came up."""
     return F.timestamp_millis(cluster.try_cast("bigint"))

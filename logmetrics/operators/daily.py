@@ -80,45 +80,40 @@ def _with_exact_quantile(
     ``percentile`` keeps every distinct value of a group in one task's memory.
     Instead the first pass, next to the aggregates, takes approximate quantiles
     two error bounds below and above ``q``, between which the wanted value must
-    lie. The second pass counts: values below the band as one, values in the band
-    one by one, the rest not at all. Only about 4/accuracy of a day's values are
-    ever ranked, and the sums before them are made on the map side.
+    lie. The second pass counts: the values below the band together, those in the
+    band one by one, those above together. That combines on the map side, and
+    only about 4/accuracy of a day's values are ever ranked.
 
     The first pass has one row per calendar day, 36,525 a century, so it is
-    broadcast.
+    broadcast. Its columns ride along as grouping keys: they depend on the day
+    alone, and the aggregation stays one over a hash table.
     """
     margin = 2.0 / accuracy
     ends = F.array(F.lit(max(q - margin, 0.0)), F.lit(min(q + margin, 1.0)))
-    first = dated.groupBy(*DAY).agg(
-        F.struct(
-            *aggregates,
-            F.count(column).alias("_n"),
-            F.percentile_approx(column, ends, accuracy).alias("_band"),
-        ).alias("_day")
+    band = F.percentile_approx(column, ends, accuracy)
+    days = dated.groupBy(*DAY).agg(
+        *aggregates, F.count(column).alias("_n"), band[0].alias("_low"), band[1].alias("_high")
     )
-    value, low, high = F.col(column), F.col("_day._band")[0], F.col("_day._band")[1]
+    value = F.col(column)
+    # Nulls count as nothing and keep a day of nulls alone in the result.
+    zone = F.when(value < F.col("_low"), 0).when(value > F.col("_high"), 2).when(value.isNull(), 0).otherwise(1)
     counted = (
         dated.select(*DAY, column)
-        .join(F.broadcast(first), list(DAY))
-        # A day without values still keeps a row; a value past the band does not.
-        .filter(value.isNull() | (value <= high))
-        .withColumn("_value", F.when(value >= low, value))
-        .groupBy(*DAY, "_value")
-        .agg(F.count(column).alias("_times"), F.any_value("_day").alias("_day"))
-    )
-    rank = F.greatest(F.ceil(F.col("_day._n") * F.lit(q)), F.lit(1))
-    wanted = F.min(F.when(F.col("_upto") >= rank, F.struct(F.col("_value").isNotNull(), F.col("_value"))))
-    outside = F.raise_error(F.lit("quantile band missed its value; use a higher accuracy"))
-    upto = F.sum("_times").over(
-        Window.partitionBy(*DAY).orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, 0)
+        .join(F.broadcast(days), list(DAY))
+        .withColumn("_zone", zone)
+        .withColumn("_value", F.when(F.col("_zone") == 1, value))
+        .groupBy(*days.columns, "_zone", "_value")
+        .agg(F.count(column).alias("_times"))
     )
+    in_order = Window.partitionBy(*DAY).orderBy("_zone", "_value").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.greatest(F.ceil(F.col("_n") * F.lit(q)), F.lit(1))
+    upto = F.sum("_times").over(in_order)
+    missed = F.raise_error(F.lit("quantile band missed its value; use a higher accuracy"))
     return (
         counted.withColumn("_upto", upto)
-        .groupBy(*DAY)
-        .agg(F.any_value("_day").alias("_day"), wanted["_value"].alias(out))
-        .withColumn(out, F.when((F.col("_day._n") > 0) & F.col(out).isNull(), outside).otherwise(F.col(out)))
-        .select(*DAY, "_day.*", out)
-        .drop("_n", "_band")
+        .filter(((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_times") < rank)) | (F.col("_n") == 0))
+        .withColumn(out, F.when((F.col("_n") == 0) | (F.col("_zone") == 1), F.col("_value")).otherwise(missed))
+        .select(*[c for c in days.columns if not c.startswith("_")], out)
     )
 
 

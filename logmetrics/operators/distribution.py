@@ -53,18 +53,22 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
             / F.nullif(F.col("_count") - 1, F.lit(0)),
         )
         .withColumn("_h", F.nullif(F.sqrt(F.greatest("_var", F.lit(0.0))) * F.pow("_count", F.lit(-0.2)), F.lit(0.0)))
-        .select(*keys, "_low", "_high", "_count", "_h")
+        .select(*keys, "_low", "_count", "_h", ((F.col("_high") - F.col("_low")) / max(points - 1, 1)).alias("_step"))
     )
-    at = lambda k: F.col("_low") + (F.col("_high") - F.col("_low")) * (k / max(points - 1, 1))
-    z = lambda k: (at(k) - x) / F.col("_h")
-    sums = (
-        counted.join(shape, keys)
-        .groupBy(*keys, "_low", "_high", "_count", "_h")
-        .agg(*[F.sum(n * F.exp(z(k) * z(k) * -0.5)).alias(f"_k{k}") for k in range(points)])
+    # In bandwidths from the lowest value: the value, and the step of the grid.
+    scaled = counted.join(shape, keys).select(
+        *keys, "_low", "_count", "_h", "_step", "_n",
+        ((x - F.col("_low")) / F.col("_h")).alias("_u"), (F.col("_step") / F.col("_h")).alias("_d"),
+    )
+    sums = scaled.groupBy(*keys, "_low", "_count", "_h", "_step").agg(
+        *[F.expr(f"sum(_n * exp(-0.5 * pow(_d * {k} - _u, 2))) AS _k{k}") for k in range(points)]
+    )
+    kernels = F.array(*[f"_k{k}" for k in range(points)])
+    return sums.select(
+        *([by] if by else []), "_low", "_step", "_count", "_h", F.posexplode(kernels).alias("point", "_kernel")
+    ).select(
+        *([by] if by else []),
+        "point",
+        (F.col("_low") + F.col("_step") * F.col("point")).alias("log10_x"),
+        (F.col("_kernel") / (F.col("_count") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("density"),
     )
-    scale = F.col("_count") * F.col("_h") * F.sqrt(2 * F.pi())
-    grid = F.array(*[
-        F.struct(F.lit(k).alias("point"), at(k).alias("log10_x"), (F.col(f"_k{k}") / scale).alias("density"))
-        for k in range(points)
-    ])
-    return sums.select(*([by] if by else []), F.inline(grid))

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
+from ..functions.settle import settle
 
 
 def parse_entries(
@@ -42,7 +43,8 @@ def is_valid() -> Column:
 
 def valid_entries(parsed: DataFrame) -> DataFrame:
     """Entries with a level and a possible time stamp."""
-    return parsed.filter(is_valid())
+    fields = {c: F.col(c) for c in ("ts", "level")}
+    return settle(parsed, fields).filter(is_valid()).select(*parsed.columns)
 
 
 def header_lines(lines: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
 """What single log messages say: requests, splits, blocks, hosts, worker times.
 
-Each extractor takes parsed entries with ids and returns one row per matching
-line. A plain word test comes before the pattern: it is cheap, runs right behind
-the scan, and leaves few lines for the regex.
+Each extractor takes parsed entries and returns one row per matching line. A plain
+word test comes before the pattern: it is cheap, runs right behind the scan, and
+leaves few lines for the regexes. Ids are taken from the path of matching lines
+only, unless the entries carry them already.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
+from ..functions.settle import settle
+from ..sources.logs import with_ids
 
 # Fixed message patterns of the log format.
 EXECUTOR_REQUEST = (
@@ -33,36 +36,41 @@ def mentions(word: str, pattern: str) -> Column:
     return F.col("raw").contains(word) & F.col("raw").rlike(pattern)
 
 
-def matching(entries: DataFrame, word: str, pattern: str) -> DataFrame:
-    return entries.filter(mentions(word, pattern))
+def matching(entries: DataFrame, condition: Column) -> DataFrame:
+    """Entries that meet the condition, with ids."""
+    found = entries.filter(condition)
+    return found if "application_id" in found.columns else with_ids(found)
 
 
-def text(pattern: str, group: int) -> Column:
-    return F.regexp_extract("raw", pattern, group)
+def captured(entries: DataFrame, word: str, pattern: str, groups: int) -> DataFrame:
+    """Entries that match the pattern, with its groups as ``_g`` and with ids."""
+    parts = {"_g": P.captures(F.col("raw"), pattern, groups)}
+    found = settle(entries.filter(F.col("raw").contains(word)), parts).filter(F.size("_g") == groups)
+    return found if "application_id" in found.columns else with_ids(found)
 
 
-def number(pattern: str, group: int) -> Column:
-    return text(pattern, group).try_cast("bigint")
+def text(group: int) -> Column:
+    """A captured group, counted from one."""
+    return F.col("_g")[group - 1]
+
+
+def number(group: int) -> Column:
+    return text(group).try_cast("bigint")
 
 
 def executor_requests(entries: DataFrame) -> DataFrame:
-    p = EXECUTOR_REQUEST
-    return matching(entries, "Will request", p).select(
+    return captured(entries, "Will request", EXECUTOR_REQUEST, 4).select(
         *WHO,
-        number(p, 1).alias("executors"),
-        number(p, 2).alias("cores"),
-        number(p, 3).alias("memory_mb"),
-        number(p, 4).alias("overhead_mb"),
+        number(1).alias("executors"),
+        number(2).alias("cores"),
+        number(3).alias("memory_mb"),
+        number(4).alias("overhead_mb"),
     )
 
 
 def container_requests(entries: DataFrame) -> DataFrame:
-    p = CONTAINER_REQUEST
-    return matching(entries, "Container request", p).select(
-        *WHO,
-        text(p, 1).alias("host"),
-        number(p, 2).alias("memory_mb"),
-        number(p, 3).alias("vcores"),
+    return captured(entries, "Container request", CONTAINER_REQUEST, 3).select(
+        *WHO, text(1).alias("host"), number(2).alias("memory_mb"), number(3).alias("vcores")
     )
 
 
@@ -77,20 +85,15 @@ def resource_totals(requests: DataFrame) -> DataFrame:
 
 def python_timings(entries: DataFrame) -> DataFrame:
     """Python worker times in milliseconds; parts can be negative."""
-    p = PYTHON_TIMES
     parts = ("total_ms", "boot_ms", "init_ms", "finish_ms")
-    return matching(entries, "Times: total", p).select(
-        *WHO, *[number(p, i).alias(c) for i, c in enumerate(parts, 1)]
+    return captured(entries, "Times: total", PYTHON_TIMES, 4).select(
+        *WHO, *[number(i).alias(c) for i, c in enumerate(parts, 1)]
     )
 
 
 def input_splits(entries: DataFrame) -> DataFrame:
-    p = INPUT_SPLIT
-    return matching(entries, "Input split", p).select(
-        *WHO,
-        text(p, 1).alias("path"),
-        number(p, 2).alias("offset"),
-        number(p, 3).alias("length"),
+    return captured(entries, "Input split", INPUT_SPLIT, 3).select(
+        *WHO, text(1).alias("path"), number(2).alias("offset"), number(3).alias("length")
     )
 
 
@@ -107,8 +110,8 @@ def broadcast_reads(entries: DataFrame) -> DataFrame:
     Reads are summed per container first; nothing is counted distinct.
     """
     per_container = (
-        matching(entries, "broadcast variable", BROADCAST_READ)
-        .select("application_id", "container_id", number(BROADCAST_READ, 1).alias("variable"))
+        matching(entries, mentions("broadcast variable", BROADCAST_READ))
+        .select("application_id", "container_id", F.regexp_extract("raw", BROADCAST_READ, 1).try_cast("bigint").alias("variable"))
         .groupBy("application_id", "variable", "container_id")
         .agg(F.count("*").alias("reads"))
     )
@@ -120,9 +123,9 @@ def broadcast_reads(entries: DataFrame) -> DataFrame:
 def container_hosts(entries: DataFrame) -> DataFrame:
     """The host each container names in its addresses."""
     return (
-        matching(entries, "@", HOST)
+        matching(entries, mentions("@", HOST))
         .groupBy("cluster_id", "container_id")
-        .agg(F.max(text(HOST, 1)).alias("host"))
+        .agg(F.max(F.regexp_extract("raw", HOST, 1)).alias("host"))
     )
 
 
@@ -133,18 +136,16 @@ def host_distribution(hosts: DataFrame) -> DataFrame:
 
 def store_capacity(entries: DataFrame) -> DataFrame:
     """Size of the memory store a container started with."""
-    p = STORE_CAPACITY
-    return matching(entries, "MemoryStore started", p).select(
-        *WHO, P.size_in_bytes(text(p, 1), text(p, 2)).alias("capacity_bytes")
+    return captured(entries, "MemoryStore started", STORE_CAPACITY, 2).select(
+        *WHO, P.size_in_bytes(text(1), text(2)).alias("capacity_bytes")
     )
 
 
 def memory_blocks(entries: DataFrame) -> DataFrame:
     """Blocks put into the memory store."""
-    p = STORED_BLOCK
-    return matching(entries, "in memory (estimated", p).select(
+    return captured(entries, "in memory (estimated", STORED_BLOCK, 5).select(
         *WHO,
-        text(p, 1).alias("block_id"),
-        P.size_in_bytes(text(p, 2), text(p, 3)).alias("size_bytes"),
-        P.size_in_bytes(text(p, 4), text(p, 5)).alias("free_bytes"),
+        text(1).alias("block_id"),
+        P.size_in_bytes(text(2), text(3)).alias("size_bytes"),
+        P.size_in_bytes(text(4), text(5)).alias("free_bytes"),
     )

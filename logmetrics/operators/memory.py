@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
-from .events import EXECUTOR_REQUEST, STORED_BLOCK, mentions, number, text
+from ..functions.settle import settle
+from .events import EXECUTOR_REQUEST, STORED_BLOCK, matching
 from .running import running_total
 
 
@@ -31,11 +32,17 @@ def memory_headroom(entries: DataFrame) -> DataFrame:
     are never reported as freed, so that is a plain sum, and requests and blocks
     go through one scan and one aggregation instead of a join of two.
     """
-    asked = number(EXECUTOR_REQUEST, 1) * number(EXECUTOR_REQUEST, 3) * F.lit(1024 * 1024)
-    stored = P.size_in_bytes(text(STORED_BLOCK, 2), text(STORED_BLOCK, 3))
+    raw = F.col("raw")
+    asked, stored = P.captures(raw, EXECUTOR_REQUEST, 4), P.captures(raw, STORED_BLOCK, 5)
+    either = entries.filter(raw.contains("Will request") | raw.contains("in memory (estimated"))
+    found = matching(settle(either, {"_asked": asked, "_stored": stored}), (F.size("_asked") == 4) | (F.size("_stored") == 5))
+    part = lambda array, i: F.try_element_at(array, F.lit(i))
+    requested = part("_asked", 1).try_cast("bigint") * part("_asked", 3).try_cast("bigint") * F.lit(1024 * 1024)
     return (
-        entries.filter(mentions("Will request", EXECUTOR_REQUEST) | mentions("in memory (estimated", STORED_BLOCK))
-        .groupBy("cluster_id", "application_id")
-        .agg(F.sum(asked).alias("requested_bytes"), F.coalesce(F.sum(stored), F.lit(0)).alias("used_bytes"))
+        found.groupBy("cluster_id", "application_id")
+        .agg(
+            F.sum(requested).alias("requested_bytes"),
+            F.coalesce(F.sum(P.size_in_bytes(part("_stored", 2), part("_stored", 3))), F.lit(0)).alias("used_bytes"),
+        )
         .withColumn("used_share", F.col("used_bytes") / F.nullif("requested_bytes", F.lit(0)))
     )

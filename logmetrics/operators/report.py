@@ -9,16 +9,15 @@ def _lines(df: DataFrame, head: list[Column], body: Column) -> DataFrame:
 
 
 def level_report(tally: DataFrame) -> DataFrame:
-    """Line totals and the share of each level. A tally has at most ten rows."""
+    """Line totals and the share of each level. A tally has at most five rows."""
+    counted = F.struct((-F.col("valid_lines")).alias("minus_lines"), "level")
     one = tally.agg(
         F.coalesce(F.sum("lines"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("lines"))), F.lit(0)).alias("valid"),
-        F.sort_array(
-            F.collect_list(F.when(F.col("is_valid"), F.struct(-F.col("lines"), F.col("level"))))
-        ).alias("levels"),
+        F.coalesce(F.sum("valid_lines"), F.lit(0)).alias("valid"),
+        F.sort_array(F.collect_list(F.when(F.col("valid_lines") > 0, counted))).alias("levels"),
     )
     level = lambda r: F.format_string(
-        "  %-7s: %,10d (%5.2f%%)", r["level"], -r["col1"], -r["col1"] * 100.0 / F.col("valid")
+        "  %-7s: %,10d (%5.2f%%)", r["level"], -r["minus_lines"], -r["minus_lines"] * 100.0 / F.col("valid")
     )
     return _lines(
         one,
@@ -40,14 +39,14 @@ def cluster_report(summary: DataFrame, k: int = 3) -> DataFrame:
     holds ``k`` rows however many clusters there are.
     """
     busiest = summary.orderBy(F.desc("num_applications"), "cluster_id").limit(k).agg(
-        F.sort_array(F.collect_list(F.struct(-F.col("num_applications"), F.col("cluster_id")))).alias("top")
+        F.sort_array(F.collect_list(F.struct((-F.col("num_applications")).alias("minus_apps"), "cluster_id"))).alias("top")
     )
     one = summary.agg(
         F.count("*").alias("clusters"),
         F.coalesce(F.sum("num_applications"), F.lit(0)).alias("applications"),
         F.avg("num_applications").alias("mean"),
     ).withColumn("top", busiest.scalar())
-    cluster = lambda r: F.format_string("  Cluster %s: %d applications", r["cluster_id"], -r["col1"])
+    cluster = lambda r: F.format_string("  Cluster %s: %d applications", r["cluster_id"], -r["minus_apps"])
     return _lines(
         one,
         [

@@ -6,11 +6,24 @@ per range carries over what the earlier ranges add up to.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _cut(df: DataFrame, keys: list[str], span: Column) -> DataFrame:
+    """Add ``_span``. Rows without a key or place belong to no order and go.
+
+    The condition stands here, ahead of both branches, because a join adds it to
+    one of them otherwise, and Spark then no longer sees that both read the same
+    shuffle.
+    """
+    cut = df.withColumn("_span", span)
+    return cut.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_span"]]))
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: str, span: Column, value: str, out: str
 ) -> DataFrame:
@@ -20,7 +33,7 @@ def running_total(
     it so that one (keys, span) holds few rows; (keys, order) must be unique.
     """
     keys = list(keys)
-    cut = df.withColumn("_span", span)
+    cut = _cut(df, keys, span)
     inside = Window.partitionBy(*keys, "_span").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -41,7 +54,7 @@ def previous_row(
 ) -> DataFrame:
     """Add struct ``out``: ``columns`` of the row before, per ``keys``; null for the first."""
     keys = list(keys)
-    cut = df.withColumn("_span", span).withColumn("_row", F.struct(*columns))
+    cut = _cut(df, keys, span).withColumn("_row", F.struct(*columns))
     inside = Window.partitionBy(*keys, "_span").orderBy(order)
     earlier = Window.partitionBy(*keys).orderBy("_span")
     carried = (

@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .events import WHO, matching
+from ..functions import parsing as P
+from ..functions.settle import settle
+from ..sources.logs import with_ids
+from .events import WHO, captured, number, text
 
 # Fixed message pattern of the log format.
 TASK = r"(Running|Finished) task (\d+)\.(\d+) in stage (\d+)\.(\d+) \(TID (\d+)\)"
@@ -13,15 +16,14 @@ TASK_KEY = ("application_id", "container_id", "tid")
 
 def task_events(entries: DataFrame) -> DataFrame:
     """Starts and ends of tasks, one row per line."""
-    part = lambda g: F.regexp_extract("raw", TASK, g)
-    return matching(entries, "(TID ", TASK).select(
+    return captured(entries, "(TID ", TASK, 6).select(
         *WHO,
-        F.when(part(1) == "Running", "start").otherwise("end").alias("event"),
-        part(2).try_cast("bigint").alias("task"),
-        part(3).try_cast("int").alias("attempt"),
-        part(4).try_cast("bigint").alias("stage"),
-        part(5).try_cast("int").alias("stage_attempt"),
-        part(6).try_cast("bigint").alias("tid"),
+        F.when(text(1) == "Running", "start").otherwise("end").alias("event"),
+        number(2).alias("task"),
+        text(3).try_cast("int").alias("attempt"),
+        number(4).alias("stage"),
+        text(5).try_cast("int").alias("stage_attempt"),
+        number(6).alias("tid"),
     )
 
 
@@ -109,16 +111,13 @@ def failures(entries: DataFrame) -> DataFrame:
 
     Task lines and errors are taken in one scan; errors share the null task.
     """
-    raw = F.col("raw")
-    is_task = raw.contains("(TID ") & raw.rlike(TASK)
     is_error = F.coalesce(F.col("level") == "ERROR", F.lit(False))
-    event = F.when(is_task, F.regexp_extract("raw", TASK, 1))
+    task = F.when(F.col("raw").contains("(TID "), P.captures(F.col("raw"), TASK, 6))
+    found = settle(entries, {"error": is_error, "_g": task}).filter(F.col("error") | (F.size("_g") == 6))
+    if "application_id" not in found.columns:
+        found = with_ids(found)
     return (
-        entries.filter(is_task | is_error)
-        .select(
-            "application_id", "container_id", event.alias("event"), is_error.alias("error"),
-            F.when(is_task, F.regexp_extract("raw", TASK, 6)).try_cast("bigint").alias("tid"),
-        )
+        found.select("application_id", "container_id", "error", text(1).alias("event"), F.try_element_at("_g", F.lit(6)).try_cast("bigint").alias("tid"))
         .groupBy(*TASK_KEY)
         .agg(
             F.count_if(F.col("event") == "Running").alias("starts"),

