@@ -22,6 +22,14 @@ def log_histogram(df: DataFrame, column: str, bins_per_decade: int = 5, by: str
     )
 
 
+def _beside(df: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with its group's row; without keys, with the only row there is."""
+    if keys:
+        return df.join(per_group, keys)
+    only = per_group.select(F.struct("*").alias("_only")).scalar()
+    return df.withColumn("_only", only).select(*df.columns, "_only.*")
+
+
 def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = None) -> DataFrame:
     """Gaussian kernel density of log10(column) on an even grid of ``points``.
 
@@ -32,19 +40,14 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
     passes on one row of ``points`` numbers per group, never value-point pairs.
     """
     value = F.col(column).cast("double")
-    keys = [by] if by else ["_all"]
+    keys = [by] if by else []
     x, n = F.col("_x"), F.col("_n")
-    counted = (
-        df.filter(value > 0)
-        .select(F.lit(0).alias("_all"), *([by] if by else []), F.log10(value).alias("_x"))
-        .groupBy(*keys, "_x")
-        .agg(F.count("*").alias("_n"))
-    )
+    counted = df.filter(value > 0).groupBy(*keys, F.log10(value).alias("_x")).agg(F.count("*").alias("_n"))
     # Sums about a point of the data keep the variance from cancelling out.
-    base = counted.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+    ends = counted.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"))
     moved = F.col("_x") - F.col("_low")
     shape = (
-        counted.join(base, keys)
+        _beside(counted, ends, keys)
         .groupBy(*keys, "_low", "_high")
         .agg(F.sum("_n").alias("_count"), F.sum(n * moved).alias("_s1"), F.sum(n * moved * moved).alias("_s2"))
         .withColumn(
@@ -56,7 +59,7 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
         .select(*keys, "_low", "_count", "_h", ((F.col("_high") - F.col("_low")) / max(points - 1, 1)).alias("_step"))
     )
     # In bandwidths from the lowest value: the value, and the step of the grid.
-    scaled = counted.join(shape, keys).select(
+    scaled = _beside(counted, shape, keys).select(
         *keys, "_low", "_count", "_h", "_step", "_n",
         ((x - F.col("_low")) / F.col("_h")).alias("_u"), (F.col("_step") / F.col("_h")).alias("_d"),
     )
@@ -65,9 +68,9 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
     )
     kernels = F.array(*[f"_k{k}" for k in range(points)])
     return sums.select(
-        *([by] if by else []), "_low", "_step", "_count", "_h", F.posexplode(kernels).alias("point", "_kernel")
+        *keys, "_low", "_step", "_count", "_h", F.posexplode(kernels).alias("point", "_kernel")
     ).select(
-        *([by] if by else []),
+        *keys,
         "point",
         (F.col("_low") + F.col("_step") * F.col("point")).alias("log10_x"),
         (F.col("_kernel") / (F.col("_count") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("density"),

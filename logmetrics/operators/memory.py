@@ -10,7 +10,7 @@ from .running import running_total
 
 
 def memory_usage(blocks: DataFrame) -> DataFrame:
-    """Bytes stored so far per container, at each second something was stored.
+    """Bytes and blocks stored so far per container, at each second something was stored.
 
     Blocks of one second are summed first, so the range the running sum works
     in, a day of one container, has at most 86,400 rows.
@@ -21,7 +21,8 @@ def memory_usage(blocks: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("blocks"), F.sum("size_bytes").alias("stored_bytes"))
     )
     return running_total(
-        per_second, ["application_id", "container_id"], "ts", F.to_date("ts"), "stored_bytes", "used_bytes"
+        per_second, ["application_id", "container_id"], "ts", F.to_date("ts"),
+        {"blocks": "blocks_so_far", "stored_bytes": "used_bytes"},
     )
 
 

@@ -13,48 +13,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame, keys: list[str], span: Column) -> DataFrame:
-    """Add ``_span``. Rows without a key or place belong to no order and go.
+def _cut(df: DataFrame, keys: list[str], order: str, values: list[str], span: Column) -> DataFrame:
+    """The columns at work, and ``_span``. Rows without a key or place belong to no order and go.
 
-    The condition stands here, ahead of both branches, because a join adds it to
-    one of them otherwise, and Spark then no longer sees that both read the same
-    shuffle.
+    Two branches read this. They share one scan and shuffle only while they ask
+    for the same rows and columns: so no other column passes, and the condition
+    stands here, where a join would put it into one branch alone.
     """
-    cut = df.withColumn("_span", span)
+    cut = df.select(*keys, order, *values).withColumn("_span", span)
     return cut.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_span"]]))
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, span: Column, value: str, out: str
+    df: DataFrame, keys: Sequence[str], order: str, span: Column, values: dict[str, str]
 ) -> DataFrame:
-    """Running sum of ``value`` per ``keys`` in the order of ``order``.
+    """Running sums per ``keys`` in the order of ``order``.
 
-    ``span`` maps ``order`` to a range and must rise with it. The caller picks
-    it so that one (keys, span) holds few rows; (keys, order) must be unique.
+    ``values`` maps each column to the name of its sum. ``span`` maps ``order`` to
+    a range and must rise with it; the caller picks it so that one (keys, span)
+    holds few rows. (keys, order) must be unique. The result has keys, order,
+    values and sums.
     """
-    keys = list(keys)
-    cut = _cut(df, keys, span)
+    keys, names = list(keys), list(values)
+    cut = _cut(df, keys, order, names, span)
     inside = Window.partitionBy(*keys, "_span").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cut.groupBy(*keys, "_span")
-        .agg(F.sum(value).alias("_sum"))
-        .select(*keys, "_span", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"))
+        .agg(*[F.sum(v).alias(f"_sum_{v}") for v in names])
+        .select(*keys, "_span", *[
+            F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_carried_{v}") for v in names
+        ])
     )
     return (
-        cut.withColumn("_inside", F.sum(value).over(inside))
+        cut.withColumns({f"_inside_{v}": F.sum(v).over(inside) for v in names})
         .join(carried, [*keys, "_span"])
-        .withColumn(out, F.col("_inside") + F.col("_carried"))
-        .drop("_span", "_inside", "_carried")
+        .select(*keys, order, *names, *[
+            (F.col(f"_inside_{v}") + F.col(f"_carried_{v}")).alias(out) for v, out in values.items()
+        ])
     )
 
 
 def previous_row(
     df: DataFrame, keys: Sequence[str], order: str, span: Column, columns: Sequence[str], out: str
 ) -> DataFrame:
-    """Add struct ``out``: ``columns`` of the row before, per ``keys``; null for the first."""
+    """Add struct ``out``: ``columns`` of the row before, per ``keys``; null for the first.
+
+    ``span`` as for ``running_total``. The result has keys, order, columns and ``out``.
+    """
     keys = list(keys)
-    cut = _cut(df, keys, span).withColumn("_row", F.struct(*columns))
+    cut = _cut(df, keys, order, list(columns), span).withColumn("_row", F.struct(*columns))
     inside = Window.partitionBy(*keys, "_span").orderBy(order)
     earlier = Window.partitionBy(*keys).orderBy("_span")
     carried = (
@@ -65,6 +73,5 @@ def previous_row(
     return (
         cut.withColumn("_inside", F.lag("_row").over(inside))
         .join(carried, [*keys, "_span"])
-        .withColumn(out, F.coalesce("_inside", "_carried"))
-        .drop("_span", "_row", "_inside", "_carried")
+        .select(*keys, order, *columns, F.coalesce("_inside", "_carried").alias(out))
     )

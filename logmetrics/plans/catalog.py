@@ -744,7 +744,8 @@ def _(spark, sf_dir):
 @query("memory_usage", _BLOCKS_SQL + """,
 per_second AS (SELECT application_id, container_id, ts, count(*) AS blocks,
     CAST(sum(size_bytes) AS BIGINT) AS stored_bytes FROM blocks GROUP BY ALL)
-SELECT *, CAST(sum(stored_bytes) OVER (PARTITION BY container_id ORDER BY ts) AS BIGINT) AS used_bytes FROM per_second""")
+SELECT *, CAST(sum(stored_bytes) OVER w AS BIGINT) AS used_bytes, CAST(sum(blocks) OVER w AS BIGINT) AS blocks_so_far
+FROM per_second WINDOW w AS (PARTITION BY container_id ORDER BY ts)""")
 def _(spark, sf_dir):
     return memory.memory_usage(events.memory_blocks(_messages(spark, sf_dir)))
 

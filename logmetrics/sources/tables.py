@@ -85,7 +85,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack tables by column name; columns a table lacks become null."""
     if not frames:
         raise ValueError("union_all needs at least one table")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    # select("*") makes plain rows of spark.range, which cannot gain columns.
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.select("*") for f in frames])
 
 
 def register_views(**frames: DataFrame) -> None:
