@@ -35,6 +35,7 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
 
     The bandwidth is Scott's: standard deviation times n^(-1/5). The grid runs
     from the smallest to the largest value. Without spread the density is null.
+    With ``by``, one density per value of that column; rows without one go.
 
     Equal values are counted first. Each grid point is then one sum, so a task
     passes on one row of ``points`` numbers per group, never value-point pairs.
@@ -42,20 +43,21 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
     value = F.col(column).cast("double")
     keys = [by] if by else []
     x, n = F.col("_x"), F.col("_n")
-    counted = df.filter(value > 0).groupBy(*keys, F.log10(value).alias("_x")).agg(F.count("*").alias("_n"))
-    # Sums about a point of the data keep the variance from cancelling out.
-    ends = counted.groupBy(*keys).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"))
-    moved = F.col("_x") - F.col("_low")
+    # The key's condition is what the joins below would ask for, but of one side only.
+    positive = df.filter((value > 0) & F.col(by).isNotNull()) if by else df.filter(value > 0)
+    counted = positive.groupBy(*keys, F.log10(value).alias("_x")).agg(F.count("*").alias("_n"))
+    centre = counted.groupBy(*keys).agg(
+        F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.sum("_n").alias("_count"),
+        (F.sum(n * x) / F.sum(n)).alias("_mean"),
+    )
+    off = x - F.col("_mean")
     shape = (
-        _beside(counted, ends, keys)
-        .groupBy(*keys, "_low", "_high")
-        .agg(F.sum("_n").alias("_count"), F.sum(n * moved).alias("_s1"), F.sum(n * moved * moved).alias("_s2"))
-        .withColumn(
-            "_var",
-            (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("_count"))
-            / F.nullif(F.col("_count") - 1, F.lit(0)),
-        )
-        .withColumn("_h", F.nullif(F.sqrt(F.greatest("_var", F.lit(0.0))) * F.pow("_count", F.lit(-0.2)), F.lit(0.0)))
+        _beside(counted, centre, keys)
+        .groupBy(*keys, "_low", "_high", "_count", "_mean")
+        .agg(F.sum(n * off * off).alias("_squares"))
+        .withColumn("_sd", F.sqrt(F.col("_squares") / F.nullif(F.col("_count") - 1, F.lit(0))))
+        # Equal values leave no more than rounding.
+        .withColumn("_h", F.when(F.col("_high") > F.col("_low"), F.col("_sd") * F.pow("_count", F.lit(-0.2))))
         .select(*keys, "_low", "_count", "_h", ((F.col("_high") - F.col("_low")) / max(points - 1, 1)).alias("_step"))
     )
     # In bandwidths from the lowest value: the value, and the step of the grid.

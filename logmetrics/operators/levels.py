@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.settle import settle
 from ..sources.logs import with_ids
 from .entries import is_valid
 
@@ -61,7 +62,8 @@ def distinct_components(entries: DataFrame) -> DataFrame:
 def top_components(entries: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` components with most entries; entries without one are left out."""
     return (
-        entries.filter(F.col("component") != "")
+        settle(entries, {"component": F.col("component")})
+        .filter(F.col("component") != "")
         .groupBy("component")
         .agg(F.count("*").alias("entries"))
         .orderBy(F.desc("entries"), "component")

@@ -48,26 +48,31 @@ def task_durations(spans: DataFrame) -> DataFrame:
     )
 
 
-# Seconds are whole numbers, so the exact percentiles below count a few distinct
-# values per group and combine on the map side.
+def _by_seconds(durations: DataFrame, *keys: str) -> DataFrame:
+    """Tasks per key and whole second.
+
+    A plain count that combines on the map side. The percentiles after it weigh a
+    row per distinct second instead of holding every task.
+    """
+    return durations.groupBy(*keys, "seconds").agg(F.count("*").alias("n"))
 
 
 def app_task_stats(durations: DataFrame) -> DataFrame:
-    """Tasks, mean and median seconds per application."""
-    return durations.groupBy("application_id").agg(
-        F.count("*").alias("tasks"),
-        F.avg("seconds").alias("mean_seconds"),
-        F.percentile("seconds", F.lit(0.5)).alias("median_seconds"),
+    """Tasks, mean, median and longest seconds per application."""
+    return _by_seconds(durations, "application_id").groupBy("application_id").agg(
+        F.sum("n").alias("tasks"),
+        (F.sum(F.col("seconds") * F.col("n")) / F.sum("n")).alias("mean_seconds"),
+        F.percentile("seconds", F.lit(0.5), F.col("n")).alias("median_seconds"),
         F.max("seconds").alias("max_seconds"),
     )
 
 
 def task_skew(durations: DataFrame) -> DataFrame:
     """Longest over median task per stage; null where the median is zero."""
-    stages = durations.groupBy("application_id", "stage").agg(
-        F.count("*").alias("tasks"),
+    stages = _by_seconds(durations, "application_id", "stage").groupBy("application_id", "stage").agg(
+        F.sum("n").alias("tasks"),
         F.max("seconds").alias("max_seconds"),
-        F.percentile("seconds", F.lit(0.5)).alias("median_seconds"),
+        F.percentile("seconds", F.lit(0.5), F.col("n")).alias("median_seconds"),
     )
     return stages.withColumn("skew", F.col("max_seconds") / F.nullif("median_seconds", F.lit(0.0)))
 

@@ -21,6 +21,7 @@ from ..sources import (
     describe_source, file_inventory, load_result, read_logs, read_months, read_trips, register_views,
     union_all, with_ids,
 )
+from . import jobs
 from . import rendered as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +185,18 @@ def _(spark, sf_dir):
     return found.select("application_id", "containers", "bytes")
 
 
+@query("entry_table", _parsed_sql() + """
+SELECT cluster_id, application_id, container_id, level, count(*) AS entries, count(ts) AS stamped, min(ts) AS first_ts,
+  max(ts) AS last_ts FROM parsed GROUP BY ALL""")
+def _(spark, sf_dir):
+    table = jobs.entry_table(spark, R.log_tree(spark, sf_dir), new_path(spark, "entries"), glob="*.txt")
+    # A partition column reads '' back as null.
+    cluster = F.coalesce("cluster_id", F.lit("")).alias("cluster_id")
+    return table.groupBy(cluster, "application_id", "container_id", "level").agg(
+        F.count("*").alias("entries"), F.count("ts").alias("stamped"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    )
+
+
 @query("union_scan", """
 SELECT kind, count(*) AS n, count(amount) AS amounts, count(tax) AS taxes FROM (
   SELECT 'order' AS kind, o_totalprice AS amount, NULL AS tax FROM orders

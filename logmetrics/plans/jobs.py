@@ -1,4 +1,4 @@
-"""The three batch jobs, from input path to written results."""
+"""The batch jobs, from input path to written results."""
 
 from collections.abc import Iterable
 
@@ -9,9 +9,23 @@ from ..functions.staging import stage
 from ..operators import daily as D
 from ..operators import distribution, entries, levels, report, sampling
 from ..operators import timeline as T
-from ..schemas import APP_TIMELINE
+from ..schemas import APP_TIMELINE, LOG_ENTRY
 from ..sinks import save_csv, save_report
-from ..sources import load_result, read_logs, read_months, read_trips
+from ..sources import load_result, read_logs, read_months, read_trips, with_ids
+
+
+def entry_table(spark: SparkSession, source: str, target: str, glob: str = "*.log") -> DataFrame:
+    """Parse a log tree once into a parquet table partitioned by cluster, and return that.
+
+    For many questions on the same logs: text is then neither read nor parsed
+    again, and a query on some columns of one cluster reads just those. REBALANCE
+    writes a large cluster with many tasks and a small one into few files. Lines
+    of no application are kept, with a null cluster.
+    """
+    parsed = entries.parse_entries(read_logs(spark, source, glob))
+    table = with_ids(parsed, keep_unmatched=True).select(*LOG_ENTRY.names)
+    table.hint("rebalance", "cluster_id").write.mode("overwrite").partitionBy("cluster_id").parquet(target)
+    return spark.read.schema(LOG_ENTRY).parquet(target)
 
 
 def level_distribution(
