@@ -3,9 +3,12 @@
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import stage
+from .running import running_total
+
 DAY = ("dt_year", "dt_month", "dt_day")
 
 
@@ -84,35 +87,44 @@ def _with_exact_quantile(
     band one by one, those above together. That combines on the map side, and
     only about 4/accuracy of a day's values are ever ranked.
 
-    The first pass has one row per calendar day, 36,525 a century, so it is
-    broadcast. Its columns ride along as grouping keys: they depend on the day
-    alone, and the aggregation stays one over a hash table.
+    On a huge day that is still much, so the ranks come from a running count over
+    a thousand slices of the band.
+
+    The first pass has one row per calendar day, 36,525 a century. It is written
+    down, since two joins read it, and broadcast.
     """
     margin = 2.0 / accuracy
     ends = F.array(F.lit(max(q - margin, 0.0)), F.lit(min(q + margin, 1.0)))
     band = F.percentile_approx(column, ends, accuracy)
-    days = dated.groupBy(*DAY).agg(
-        *aggregates, F.count(column).alias("_n"), band[0].alias("_low"), band[1].alias("_high")
+    days = stage(
+        dated.groupBy(*DAY).agg(
+            *aggregates, F.count(column).alias("_n"), band[0].alias("_low"), band[1].alias("_high")
+        ),
+        "days",
     )
-    value = F.col(column)
+    value, low, high = F.col(column), F.col("_low"), F.col("_high")
     # Nulls count as nothing and keep a day of nulls alone in the result.
-    zone = F.when(value < F.col("_low"), 0).when(value > F.col("_high"), 2).when(value.isNull(), 0).otherwise(1)
+    zone = F.when(value < low, 0).when(value > high, 2).when(value.isNull(), 0).otherwise(1)
+    width = high.cast("double") - low.cast("double")
+    into = value.cast("double") - low.cast("double")
+    slice_ = F.when((width > 0) & (width < float("inf")), F.floor(into / width * 1000)).otherwise(0)
     counted = (
         dated.select(*DAY, column)
-        .join(F.broadcast(days), list(DAY))
+        .join(F.broadcast(days.select(*DAY, "_low", "_high")), list(DAY))
         .withColumn("_zone", zone)
+        .withColumn("_slice", F.when(F.col("_zone") == 0, -1).when(F.col("_zone") == 2, 1001).otherwise(slice_))
         .withColumn("_value", F.when(F.col("_zone") == 1, value))
-        .groupBy(*days.columns, "_zone", "_value")
+        .groupBy(*DAY, "_slice", "_zone", "_value")
         .agg(F.count(column).alias("_times"))
     )
-    in_order = Window.partitionBy(*DAY).orderBy("_zone", "_value").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.greatest(F.ceil(F.col("_n") * F.lit(q)), F.lit(1))
-    upto = F.sum("_times").over(in_order)
+    ranked = running_total(counted, DAY, ["_zone", "_value"], F.col("_slice"), {"_times": "_upto"})
+    n = F.col("_n")
+    rank = F.greatest(F.ceil(n * F.lit(q)), F.lit(1))
     missed = F.raise_error(F.lit("quantile band missed its value; use a higher accuracy"))
     return (
-        counted.withColumn("_upto", upto)
-        .filter(((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_times") < rank)) | (F.col("_n") == 0))
-        .withColumn(out, F.when((F.col("_n") == 0) | (F.col("_zone") == 1), F.col("_value")).otherwise(missed))
+        ranked.join(F.broadcast(days), list(DAY))
+        .filter(((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_times") < rank)) | (n == 0))
+        .withColumn(out, F.when((n == 0) | (F.col("_zone") == 1), F.col("_value")).otherwise(missed))
         .select(*[c for c in days.columns if not c.startswith("_")], out)
     )
 

@@ -21,7 +21,7 @@ def memory_usage(blocks: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("blocks"), F.sum("size_bytes").alias("stored_bytes"))
     )
     return running_total(
-        per_second, ["application_id", "container_id"], "ts", F.to_date("ts"),
+        per_second, ["application_id", "container_id"], ["ts"], F.to_date("ts"),
         {"blocks": "blocks_so_far", "stored_bytes": "used_bytes"},
     )
 

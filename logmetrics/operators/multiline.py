@@ -2,8 +2,9 @@
 
 A file can hold a third of all lines, so no step may put a file into one task.
 A scan reads a file in splits; inside a split the lines come in order. So the
-windows run inside a split, which ``spark.sql.files.maxPartitionBytes`` bounds, and
-one row per split carries the counts over from the splits before it.
+windows run inside runs of 131,072 lines of a split, and one row per run carries
+the counts over from the runs before it. That holds for a compressed file, too,
+which is a single split however large it is.
 """
 
 from collections.abc import Sequence
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 from ..functions import parsing as P
 from ..functions.staging import stage
 
-SPLIT = ("file_path", "block_start")
+RUN = ("file_path", "block_start", "_run")
 
 
-def number_entries(lines: DataFrame, stream: Sequence[str] = ("file_path",)) -> DataFrame:
+def number_entries(
+    lines: DataFrame, stream: Sequence[str] = ("file_path",), run_lines: int = 131_072
+) -> DataFrame:
     """Give every line its entry and its place in it.
 
     ``stream`` names the columns within which lines follow each other: the file,
@@ -30,14 +33,17 @@ def number_entries(lines: DataFrame, stream: Sequence[str] = ("file_path",)) ->
     Row positions mean something for one scan only, hence the written table
     between the scan and the two branches that read it.
     """
-    keys = list(dict.fromkeys([*stream, *SPLIT]))
-    order = [c for c in SPLIT if c not in stream]
+    keys = list(dict.fromkeys([*stream, *RUN]))
+    order = [c for c in RUN if c not in stream]
+    # The id counts rows in its lower 33 bits, the part of the scan in the upper.
+    in_part = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     marked = stage(
         lines.withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_run", F.floor(in_part / run_lines))
         .withColumn("_header_row", F.when(P.is_header(F.col("value")), F.col("_row"))),
         "lines",
     )
-    splits = marked.groupBy(*keys).agg(
+    runs = marked.groupBy(*keys).agg(
         F.min("_row").alias("_first"),
         F.count("*").alias("_lines"),
         F.count("_header_row").alias("_headers"),
@@ -45,7 +51,7 @@ def number_entries(lines: DataFrame, stream: Sequence[str] = ("file_path",)) ->
     )
     before = Window.partitionBy(*stream).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        splits.withColumn("_lines_before", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
+        runs.withColumn("_lines_before", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
         .withColumn("_headers_before", F.coalesce(F.sum("_headers").over(before), F.lit(0)))
         .withColumn("_last_header_no", F.col("_lines_before") + F.col("_last_header") - F.col("_first"))
         # Lines before any header count from the start of the stream.
@@ -68,7 +74,7 @@ def number_entries(lines: DataFrame, stream: Sequence[str] = ("file_path",)) ->
 
 
 def assemble_entries(
-    lines: DataFrame, stream: Sequence[str] = ("file_path",), part_lines: int = 1000
+    lines: DataFrame, stream: Sequence[str] = ("file_path",), part_lines: int = 1000, run_lines: int = 131_072
 ) -> DataFrame:
     """Whole entries: a header with the lines that continue it, as one text.
 
@@ -77,7 +83,7 @@ def assemble_entries(
     before the first header form entry 0.
     """
     stream = list(stream)
-    numbered = number_entries(lines, stream)
+    numbered = number_entries(lines, stream, run_lines)
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("line_in_entry", "value"))), lambda l: l["value"])
     return (
         numbered.withColumn("part", F.floor(F.col("line_in_entry") / part_lines))

@@ -13,19 +13,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame, keys: list[str], order: str, values: list[str], span: Column) -> DataFrame:
+def _cut(df: DataFrame, keys: list[str], order: list[str], values: list[str], span: Column) -> DataFrame:
     """The columns at work, and ``_span``. Rows without a key or place belong to no order and go.
 
     Two branches read this. They share one scan and shuffle only while they ask
     for the same rows and columns: so no other column passes, and the condition
     stands here, where a join would put it into one branch alone.
     """
-    cut = df.select(*keys, order, *values).withColumn("_span", span)
+    cut = df.select(*keys, *order, *values, span.alias("_span"))
     return cut.filter(reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_span"]]))
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, span: Column, values: dict[str, str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], span: Column, values: dict[str, str]
 ) -> DataFrame:
     """Running sums per ``keys`` in the order of ``order``.
 
@@ -34,9 +34,9 @@ def running_total(
     holds few rows. (keys, order) must be unique. The result has keys, order,
     values and sums.
     """
-    keys, names = list(keys), list(values)
+    keys, order, names = list(keys), list(order), list(values)
     cut = _cut(df, keys, order, names, span)
-    inside = Window.partitionBy(*keys, "_span").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_span").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cut.groupBy(*keys, "_span")
@@ -48,7 +48,7 @@ def running_total(
     return (
         cut.withColumns({f"_inside_{v}": F.sum(v).over(inside) for v in names})
         .join(carried, [*keys, "_span"])
-        .select(*keys, order, *names, *[
+        .select(*keys, *order, *names, *[
             (F.col(f"_inside_{v}") + F.col(f"_carried_{v}")).alias(out) for v, out in values.items()
         ])
     )
@@ -62,7 +62,7 @@ def previous_row(
     ``span`` as for ``running_total``. The result has keys, order, columns and ``out``.
     """
     keys = list(keys)
-    cut = _cut(df, keys, order, list(columns), span).withColumn("_row", F.struct(*columns))
+    cut = _cut(df, keys, [order], list(columns), span).withColumn("_row", F.struct(*columns))
     inside = Window.partitionBy(*keys, "_span").orderBy(order)
     earlier = Window.partitionBy(*keys).orderBy("_span")
     carried = (

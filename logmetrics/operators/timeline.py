@@ -122,7 +122,7 @@ def app_concurrency(timeline: DataFrame) -> DataFrame:
         .groupBy("cluster_id", "at")
         .agg(F.sum("step").alias("change"))
     )
-    return running_total(changes, ["cluster_id"], "at", F.to_date("at"), {"change": "running"})
+    return running_total(changes, ["cluster_id"], ["at"], F.to_date("at"), {"change": "running"})
 
 
 def peak_concurrency(concurrency: DataFrame) -> DataFrame:

@@ -61,6 +61,19 @@ def test_exact_quantile_with_a_narrow_band(spark, q):
     assert rows(got.select("out")) == [(sorted(values)[max(math.ceil(len(values) * q), 1) - 1],)]
 
 
+def test_exact_quantile_of_odd_values(spark):
+    """Ties alone, infinities, decimals, and a band without width."""
+    day = ("2021 AS dt_year", "CAST(id % 4 AS INT) + 1 AS dt_month", "1 AS dt_day")
+    value = ("CASE id % 4 WHEN 0 THEN 7D WHEN 1 THEN if(id < 2000, double('-inf'), double('inf'))"
+             " WHEN 2 THEN CAST(id AS double) ELSE NULL END AS v")
+    dated = spark.range(4000).selectExpr(*day, value, "CAST(id AS decimal(12,2)) AS d")
+    got = D._with_exact_quantile(dated, [F.count("*").alias("n")], "v", 0.5, "out", accuracy=100)
+    assert rows(got.select("dt_month", "n", "out"), "dt_month") == [
+        (1, 1000, 7.0), (2, 1000, float("-inf")), (3, 1000, 1998.0), (4, 1000, None)]
+    exact = D._with_exact_quantile(dated, [F.count("*").alias("n")], "d", 0.25, "out", accuracy=50)
+    assert [float(r.out) for r in exact.orderBy("dt_month").collect()] == [996.0, 997.0, 998.0, 999.0]
+
+
 def test_approximate_quantile_has_bounded_rank_error(spark):
     data, df = trips(spark)
     got = {r[:3]: r[6] for r in rows(D.daily_metrics(df, year=2021))}

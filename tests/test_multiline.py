@@ -1,3 +1,4 @@
+import gzip
 import random
 
 import pytest
@@ -34,13 +35,14 @@ def small_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
+@pytest.mark.parametrize("run_lines", [3, 131_072])
 @pytest.mark.parametrize("heads", [0.5, 0.02, 0.0, 1.0])
-def test_files_cut_into_splits(spark, tmp_path, small_splits, heads):
+def test_files_cut_into_splits(spark, tmp_path, small_splits, heads, run_lines):
     rnd = random.Random(int(heads * 100))
     files = {f"f{i}.log": random_file(rnd, n, heads) for i, n in enumerate((400, 30, 1))}
     lines = read_logs(spark, write_tree(tmp_path, files))
     assert lines.select("block_start").distinct().count() > 5
-    got = multiline.assemble_entries(lines, part_lines=7)
+    got = multiline.assemble_entries(lines, part_lines=7, run_lines=run_lines)
     for name, values in files.items():
         mine = got.filter(got.file_path.endswith(name))
         assert rows(mine.select("entry_no", "part", "first_line", "lines", "value"), "entry_no", "part") == expected(values, 7)
@@ -55,6 +57,15 @@ def test_a_log_kept_in_several_files(spark, tmp_path, small_splits):
     assert rows(got.select("entry_no", "part", "first_line", "lines", "value"), "entry_no") == expected(whole, 1000)
 
 
+def test_a_compressed_file_is_one_split_of_many_runs(spark, tmp_path):
+    values = random_file(random.Random(6), 500, 0.1)
+    with gzip.open(tmp_path / "a.log.gz", "wt") as f:
+        f.write("".join(v + "\n" for v in values))
+    lines = read_logs(spark, str(tmp_path), glob="*.gz")
+    got = multiline.assemble_entries(lines, part_lines=9, run_lines=11)
+    assert rows(got.select("entry_no", "part", "first_line", "lines", "value"), "entry_no", "part") == expected(values, 9)
+
+
 def test_every_line_keeps_its_place(spark, tmp_path, small_splits):
     values = random_file(random.Random(2), 200, 0.2)
     got = multiline.number_entries(read_logs(spark, write_tree(tmp_path, {"a.log": values})))

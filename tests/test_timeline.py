@@ -140,7 +140,7 @@ def test_running_values_against_brute_force(spark):
     data = [(rnd.choice("aaab"), i, rnd.randint(-5, 9)) for i in range(500)]
     df = spark.createDataFrame(data, "k string, i int, v bigint").repartition(8)
     span = F.floor(F.col("i") / 37)
-    total = {(k, i): r for k, i, _, r in rows(running_total(df, ["k"], "i", span, {"v": "run"}))}
+    total = {(k, i): r for k, i, _, r in rows(running_total(df, ["k"], ["i"], span, {"v": "run"}))}
     before = {(k, i): p for k, i, _, p in rows(previous_row(df, ["k"], "i", span, ["v"], "prev"))}
     assert len(total) == len(before) == len(data)
     run, prev = {}, {}
