@@ -58,9 +58,3 @@ def cluster_report(summary: DataFrame, k: int = 3) -> DataFrame:
         ],
         F.transform("top", cluster),
     )
-
-
-def preview(df: DataFrame, n: int = 5, truncate: int = 40) -> DataFrame:
-    """First rows with every value as text, long ones shortened."""
-    short = lambda c: F.substring(F.col(c).cast("string"), 1, truncate).alias(c)
-    return df.limit(n).select(*[short(c) for c in df.columns])

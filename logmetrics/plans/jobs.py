@@ -25,7 +25,7 @@ def entry_table(spark: SparkSession, source: str, target: str, glob: str = "*.lo
     parsed = entries.parse_entries(read_logs(spark, source, glob))
     table = with_ids(parsed, keep_unmatched=True).select(*LOG_ENTRY.names)
     table.hint("rebalance", "cluster_id").write.mode("overwrite").partitionBy("cluster_id").parquet(target)
-    return spark.read.schema(LOG_ENTRY).parquet(target)
+    return spark.read.schema(LOG_ENTRY).parquet(target).select(*LOG_ENTRY.names)
 
 
 def level_distribution(

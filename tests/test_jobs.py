@@ -1,9 +1,12 @@
+from types import SimpleNamespace
+
 import pytest
 
-from conftest import DATA, rows, ts, write_tree
+from conftest import DATA, plan, rows, ts, write_tree
+from logmetrics.functions.staging import shared_dir
 from logmetrics.operators import daily as D
 from logmetrics.plans import jobs, rendered
-from logmetrics.schemas import APP_TIMELINE, CLUSTER_SUMMARY, LEVEL_COUNTS
+from logmetrics.schemas import APP_TIMELINE, CLUSTER_SUMMARY, LEVEL_COUNTS, LOG_ENTRY
 from logmetrics.sources import load_result
 
 FILES = {
@@ -44,6 +47,28 @@ def test_cluster_usage_and_resuming(spark, tmp_path):
     assert rows(load_result(spark, f"{out}/cluster_summary", CLUSTER_SUMMARY), "cluster_id") == first
 
 
+def test_entry_table(spark, tmp_path):
+    root = write_tree(tmp_path / "in", {**FILES, "misc/other.log": ["17/03/29 10:00:00 INFO a.A: nobody's"]})
+    table = jobs.entry_table(spark, root, str(tmp_path / "table"))
+    assert table.columns == LOG_ENTRY.names and table.count() == 7
+    one = table.filter("cluster_id = '2'")
+    assert "PartitionFilters: [isnotnull(cluster_id" in plan(one)
+    (row,) = one.collect()
+    assert (row.app_number, row.ts, row.level, row.component, row.message, row.container_role) == (
+        "0001", ts("2017-03-30 10:00:00"), "INFO", "a.A", "only", "AM")
+    assert [r.raw for r in table.filter("cluster_id IS NULL").collect()] == ["17/03/29 10:00:00 INFO a.A: nobody's"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(folder, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: folder))
+
+    assert shared_dir(session("hdfs://h/shared/", "spark://h:7077")) == "hdfs://h/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(None, "spark://h:7077"))
+
+
 def test_daily_report(spark, tmp_path):
     orders = D.Measures("o_orderdate", "o_totalprice", "o_totalprice", "o_totalprice", "o_totalprice", "o_custkey")
     paths = [f"{DATA}/orders.parquet", f"{DATA}/orders-2.parquet"]
