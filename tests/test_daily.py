@@ -82,6 +82,17 @@ def test_approximate_quantile_has_bounded_rank_error(spark):
     assert abs(np.searchsorted(fares, got[2021, 3, 1]) / len(fares) - 0.95) < 0.01
 
 
+def test_approximate_quantile_of_a_large_day(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr(
+        "timestamp'2021-05-05 00:00:00' + make_dt_interval(0, 0, 0, id % 86400) AS tpep_pickup_datetime",
+        "1.0D AS trip_distance", "0.5D AS mta_tax", f"CAST((id * 7919) % {n} AS double) AS fare_amount",
+        "0.0D AS tip_amount", "1.0D AS passenger_count")
+    rough, exact = (D.daily_metrics(df, year=2021, exact=e).first().q95_fare_amount for e in (False, True))
+    assert exact == 0.95 * n - 1
+    assert abs(rough - exact) <= n / 10_000
+
+
 def test_order_and_rollup(spark):
     data, df = trips(spark)
     daily = D.daily_metrics(df, year=2021)

@@ -6,20 +6,16 @@ import oracle
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import DATA, plan
 
-WITHOUT_SQL = {"daily_metrics_approx"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     return oracle.connect(DATA)
 
 
-def test_every_query_has_sql_but_the_approximate_one():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, duck, name):
     got = queries()[name](spark, DATA).toPandas()
     assert oracle.differences(got, duck.sql(oracle_sql()[name]).df()) == ""
