@@ -106,7 +106,7 @@ def captures(text: Column, pattern: str, groups: int) -> Column:
     """
     mark = "\u0001"
     joined = mark.join(f"${i}" for i in range(1, groups + 1))
-    match = F.translate(F.regexp_extract(text, pattern, 0), mark, "\ufffd")
+    match = F.replace(F.regexp_extract(text, pattern, 0), F.lit(mark), F.lit("\ufffd"))
     return F.split(F.regexp_replace(match, pattern, joined), mark)
 
 
