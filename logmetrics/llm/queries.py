@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import tokens
+from logmetrics.llm import decontamination, tokens
 from logmetrics.llm.text import read
 
 
@@ -17,8 +17,49 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op9_decontamination": op9_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+# Words of a text in lower case, for DuckDB.
+_WORDS9 = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLES: dict[str, str] = {
+    "op9_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS9} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS9} AS w FROM benchmark),
+        cut AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS g
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM cut)
+        ),
+        places AS (
+            SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS g
+            FROM (
+                SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+                FROM d, (SELECT DISTINCT k FROM cut) WHERE len(w) >= k
+            )
+        ),
+        hits AS (SELECT doc_id, item_id, k, p FROM places JOIN windows USING (k, g)),
+        words AS (SELECT doc_id, count(DISTINCT p + o) AS n FROM (SELECT doc_id, p, unnest(range(0, k)) AS o FROM hits) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+               coalesce(words.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
