@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, tokens
+from logmetrics.llm import decontamination, tokens, toxicity
 from logmetrics.llm.text import read
 
 
@@ -13,6 +13,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(key: str = "doc_id"):
+    """Is the row kept out of training?"""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -26,6 +39,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op9_decontamination": op9_decontamination,
 }
