@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, tokens, toxicity
+from logmetrics.llm import decontamination, html, tokens, toxicity
 from logmetrics.llm.text import read
 
 
@@ -38,10 +38,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op9_decontamination": op9_decontamination,
+    "op10_html_text": op10_html_text,
 }
 
 # Words of a text in lower case, for DuckDB.
