@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, tokens, toxicity
+from logmetrics.llm import decontamination, html, quality_rules, tokens, toxicity
 from logmetrics.llm.text import read
 
 
@@ -30,6 +30,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "content_share")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -45,6 +51,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
 }
