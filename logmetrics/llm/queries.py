@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, quality_rules, tokens, toxicity
+from logmetrics.llm import decontamination, html, quality_rules, similarity, tokens, toxicity
 from logmetrics.llm.text import read
 
 
@@ -30,6 +30,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
@@ -51,6 +55,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
