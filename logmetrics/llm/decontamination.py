@@ -13,13 +13,19 @@ words lead back to offsets in the original.
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logmetrics.functions.staging import stage
+from logmetrics.llm.text import ddl
+
 BLOCK_BYTES = 2_000_000  # item text in one automaton: about 100 MB of nodes in a task
+PASS_BYTES = 64_000_000  # item text sent to the tasks at once
+GROUP_BYTES = 64_000_000  # text of documents that meets one automaton after another
 TEXTS_AT_ONCE = 500
 
 # Word bytes are digits, letters and everything beyond ASCII.
@@ -107,90 +113,98 @@ def character_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str, in
     return [{"start": chars(at[a][0]), "end": chars(at[b - 1][1])} for a, b in runs]
 
 
-def _scan(docs: DataFrame, patterns: Patterns, key: str, text: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((list(zip(patterns.names, patterns.words)), patterns.window))
-    schema = (
-        f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words bigint, n_hit bigint, "
-        "spans array<struct<start:bigint,end:bigint>>, runs array<struct<start:bigint,end:bigint>>, items array<string>"
-    )
-    kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def _groups(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of whole rows, about ``limit`` bytes of text each."""
+    held, size = [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            part = batch.slice(lo, TEXTS_AT_ONCE)
+            held.append(part)
+            size += part.column(column).nbytes
+            if size >= limit:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _scan(docs: DataFrame, blocks: list[list[tuple[str, str | None]]], window: int, text: str, keep: Sequence[str], again: bool) -> DataFrame:
+    """One pass over ``docs``; ``again``: they hold what earlier passes found, and this adds to it."""
+    shared = docs.sparkSession.sparkContext.broadcast(blocks)
+    spans_ddl = "array<struct<start:bigint,end:bigint>>"
+    found_ddl = f"n_words bigint, n_hit bigint, spans {spans_ddl}, runs {spans_ddl}, items array<string>"
+    spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    earlier = ["runs", "items"] if again else []
+    at = len(keep)
 
     def each(batches):
-        items, window = shared.value
-        ready = Patterns([(name, b" ".join(words).decode()) for name, words in items], window)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(lo, TEXTS_AT_ONCE)
-                n_words, n_hit, spans, kept, names = [], [], [], [], []
-                for t in part.column(1).to_pylist():
-                    words = words_of(t)
-                    runs, hit = ready.find(words)
-                    runs = merged(runs)
-                    n_words.append(len(words))
-                    n_hit.append(sum(b - a for a, b in runs))
-                    spans.append(character_spans(t, runs) if runs else [])
-                    kept.append([{"start": a, "end": b} for a, b in runs])
-                    names.append(sorted({ready.names[i] for i in hit}))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(spans, kinds),
-                     pa.array(kept, kinds), pa.array(names, pa.list_(pa.string()))],
-                    [key, "n_words", "n_hit", "spans", "runs", "items"],
-                )
-
-    return docs.select(key, text).mapInArrow(each, schema)
+        blocks = shared.value
+        ready = Patterns(blocks[0], window) if len(blocks) == 1 else None
+        for part in _groups(batches, at, 0 if ready else GROUP_BYTES):
+            texts = part.column(at).to_pylist()
+            words = [words_of(t) for t in texts]
+            if again:
+                runs = [[(r["start"], r["end"]) for r in x] for x in part.column(at + 1).to_pylist()]
+                names = [set(x) for x in part.column(at + 2).to_pylist()]
+            else:
+                runs, names = [[] for _ in texts], [set() for _ in texts]
+            for block in blocks:
+                patterns = ready or Patterns(block, window)
+                for i, w in enumerate(words):
+                    more, hit = patterns.find(w)
+                    runs[i] += more
+                    names[i].update(patterns.names[k] for k in hit)
+            runs = [merged(r) for r in runs]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *part.columns[: at + 1],
+                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
+                    pa.array([character_spans(t, r) if r else [] for t, r in zip(texts, runs)], spans_kind),
+                    pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], spans_kind),
+                    pa.array([sorted(n) for n in names], pa.list_(pa.string())),
+                ],
+                [*keep, "_text", "n_words", "n_hit", "spans", "runs", "items"],
+            )
+
+    picked = docs.select(*keep, F.col(text).alias("_text"), *earlier)
+    return picked.mapInArrow(each, ddl(picked, [*keep, "_text"]) + found_ddl)
 
 
 def find_passages(
-    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES,
+    docs: DataFrame, items: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), item_key: str = "item_id",
+    item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
-    """Per document: ``n_words``, ``n_hit`` (words inside a window of any item), ``spans``
+    """Per document: the columns ``keep``, ``n_words``, ``n_hit`` (words inside a window of any item), ``spans``
     (characters of the original, end not included) and ``items`` (ids as strings, sorted).
 
-    One row per document row. A null or empty text has no words and no hits; an
-    item without words (null, empty, only symbols) hits nothing; repeated items hit
-    together; an item without id is left out. Other columns do not pass.
+    One row per document row, repeated and null keys included. A null or empty text
+    has no words and no hits; an item without words (null, empty, only symbols) hits
+    nothing; repeated items hit together; an item without id is left out. ``keep``
+    must not hold a name of these or ``_text``; other columns do not pass. No shuffle.
 
     The items' size is measured first, one small job. Up to ``block_bytes`` of item
-    text make one automaton, sent to every task, and documents are not shuffled.
-    Beyond that the items are dealt into blocks of about that size, each scans the
-    documents once, and a document's hits are put together by its key, which must
-    then be unique.
+    text make one automaton. More items are dealt into blocks of about that size,
+    and a task goes through its texts in large groups, one automaton after another,
+    so it never holds two. Beyond ``pass_bytes`` of item text, which are sent to all
+    tasks, documents are read once for each such share, the results so far written
+    in between.
     """
     named = items.select(F.col(item_key).cast("string").alias("name"), F.col(item_text).alias("body")).filter(F.col("name").isNotNull())
     size = named.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    out = None
-    for b in range(blocks):
-        own = named.filter(F.pmod(F.xxhash64("name"), F.lit(blocks)) == b) if blocks > 1 else named
-        found = _scan(docs, Patterns([tuple(r) for r in own.collect()], window), key, text)
-        out = found if out is None else out.unionByName(found)
-    if blocks > 1:
-        out = _together(out, key)
-    return out.drop("runs")
-
-
-def _together(found: DataFrame, key: str) -> DataFrame:
-    """One row per document from one row per document and block."""
-    by_start = lambda a: F.array_sort(F.flatten(F.collect_list(a)))
-    # A run ends where the largest end so far lies before the next start.
-    joined = lambda runs: F.aggregate(
-        runs, F.slice(runs, 1, 0),
-        lambda acc, r: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, F.greatest(F.size(acc), F.lit(1))).getField("end") > r["start"]),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(
-                    F.element_at(acc, -1).getField("start").alias("start"),
-                    F.greatest(F.element_at(acc, -1).getField("end"), r["end"]).alias("end"),
-                )),
-            ),
-        ).otherwise(F.concat(acc, F.array(r))),
-    )
-    rows = found.groupBy(key).agg(
-        F.first("n_words").alias("n_words"), by_start("spans").alias("spans"), by_start("runs").alias("runs"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    rows = rows.select(key, "n_words", joined(F.col("spans")).alias("spans"), joined(F.col("runs")).alias("runs"), "items")
-    n_hit = F.aggregate("runs", F.lit(0).cast("bigint"), lambda acc, r: acc + r["end"] - r["start"])
-    return rows.select(key, "n_words", n_hit.alias("n_hit"), "spans", "runs", "items")
+    passes = max(1, -(-size // pass_bytes))
+    frame = docs
+    for n in range(passes):
+        share = named.filter(F.pmod(F.xxhash64("name"), F.lit(passes)) == n) if passes > 1 else named
+        rows = [tuple(r) for r in share.collect()]
+        blocks, filled = [[]], 0
+        for name, body in rows:
+            if filled >= block_bytes:
+                blocks.append([])
+                filled = 0
+            blocks[-1].append((name, body))
+            filled += len((body or "").encode())
+        if n:
+            frame = stage(frame, "passages")
+        frame = _scan(frame, blocks, window, "_text" if n else text, keep, n > 0)
+    return frame.drop("_text", "runs")

@@ -12,6 +12,7 @@ holds for each of their lines: a mixed text teaches a little wrong, the many oth
 right.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.llm.labelled import sample
-from logmetrics.llm.text import IS_WORD, map_runs, per_text, shingle_hashes, span_hashes, word_bounds
+from logmetrics.llm.text import IS_WORD, ddl, map_runs, per_text, shingle_hashes, span_hashes, word_bounds
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -275,13 +276,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def judge(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
-    """Per row: key, the base counts, ``base_failed``, ``kept``, ``n_lines``, ``n_content_lines``, ``content_share``.
+def judge(docs: DataFrame, field: Field, text: str = "text", keep: Sequence[str] = ("doc_id",), share: float = SHARE) -> DataFrame:
+    """Per row: the columns ``keep``, the base counts, ``base_failed``, ``kept``, ``n_lines``, ``n_content_lines``, ``content_share``.
 
     One row per input row, repeated and null keys included. A null or empty text,
     or one of white space alone, has no words: it fails the base and has content
-    share 0. Of equally likely markings of a line boilerplate wins. Other columns do
-    not pass. No shuffle.
+    share 0. Of equally likely markings of a line boilerplate wins. ``keep`` must not
+    hold a name of these; other columns do not pass, whatever their names. No shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -293,12 +294,12 @@ def judge(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text"
         failed = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
         part = content / np.maximum(total, 1)
         return {
-            key: batch.column(0), **counts, "base_failed": failed, "kept": ~failed & (part >= share),
+            **{c: batch.column(i) for i, c in enumerate(keep)}, **counts, "base_failed": failed, "kept": ~failed & (part >= share),
             "n_lines": per_text(lines.owner, n), "n_content_lines": per_text(lines.owner[states], n), "content_share": part,
         }
 
     schema = (
-        f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in COUNTS)
+        ddl(docs, keep) + ", ".join(f"{c} bigint" for c in COUNTS)
         + ", base_failed boolean, kept boolean, n_lines bigint, n_content_lines bigint, content_share double"
     )
-    return map_runs(docs, text, [key], schema, work)
+    return map_runs(docs, text, list(keep), schema, work)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, quality_rules, similarity, tokens, toxicity
+from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity
 from logmetrics.llm.text import read
 
 
@@ -30,6 +30,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = pieces.encode(read(spark, sf_dir, "documents"), model, keep=("doc_id", "text"))
+    decoded = pieces.decode(encoded, model, keep=("doc_id", "text", "ids"), out="decoded")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (F.col("decoded") == pieces.marked(F.col("text"))).alias("round_trip")
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -55,6 +64,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op5_sentencepiece": op5_sentencepiece,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,

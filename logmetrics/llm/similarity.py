@@ -152,6 +152,15 @@ def _may_meet(n1: Column, pos1: Column, n2: Column, pos2: Column, percent: int)
     return fits & (F.least(n1 - pos1, n2 - pos2) >= _least_overlap(n1, n2, percent))
 
 
+def matching(docs: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    """``docs`` whose key is (``left_semi``) or is not (``left_anti``) among ``ids``, a written table of one column.
+
+    Up to ``BROADCAST_IDS`` rows the ids go to every task and documents stay where they are.
+    """
+    ids = ids.toDF(key)
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
+
+
 def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` that link: suffix filter first, then the sets themselves."""
     for side in ("a", "b"):
@@ -159,7 +168,6 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
     common = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     left = stage(pairs.filter(common >= _least_overlap(F.col("n_a"), F.col("n_b"), percent)).select("a", "b").distinct(), "candidates")
     ids = stage(left.select(F.col("a").alias("v")).union(left.select("b")).distinct(), "candidate-ids")
-    few = ids.count() <= BROADCAST_IDS
 
     def sets(batch, data, bounds):
         owner, tokens, _ = ordered_sets(data, bounds, k)
@@ -167,7 +175,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
         ends = np.cumsum(n)
         return {"v": batch.column(0), "held": [tokens[e - m : e].tobytes() for e, m in zip(ends, n)]}
 
-    texts = docs.select(F.col(key).alias("v"), F.col(text).alias("text")).join(F.broadcast(ids) if few else ids, "v", "left_semi")
+    texts = matching(docs.select(F.col(key).alias("v"), F.col(text).alias("text")), "v", ids, "left_semi")
     held = map_runs(texts, "text", ["v"], f"v {docs.schema[key].dataType.simpleString()}, held binary", sets)
     held_a, held_b = (held.select(F.col("v").alias(s), F.col("held").alias(f"held_{s}")) for s in ("a", "b"))
 

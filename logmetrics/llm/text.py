@@ -6,7 +6,7 @@ so a task's memory does not grow with the table; only a single text longer than
 that makes a longer run.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,11 @@ def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    """The columns as a schema, with a comma behind each."""
+    return "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
+
+
 def runs(batch: pa.RecordBatch, column: str, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, row after the last, bytes, bounds)`` of runs of whole texts.
 

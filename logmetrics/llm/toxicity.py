@@ -8,6 +8,7 @@ trained on presence times ratio. A text's score is the sum of the weights of the
 kept buckets that it holds, through the logistic function.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.llm.labelled import sample
-from logmetrics.llm.text import LOWER, finish, map_runs, runs
+from logmetrics.llm.text import LOWER, ddl, finish, map_runs, runs
 
 ORDERS = (4, 5, 6)
 BUCKETS = 1 << 20
@@ -177,12 +178,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return fit_weights([np.asarray(x, np.int64) for x in got.kept], got.label.to_numpy(), r, kept)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and ``score`` (0 to 1, higher: label 1 likelier) per row.
+def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and ``score`` (0 to 1, higher: label 1 likelier) per row.
 
     One row per input row; a null or empty text has the score of a text without
-    n-grams, set by the bias alone. Other columns do not pass. No shuffle.
+    n-grams, set by the bias alone. ``keep`` must not hold ``score``; other columns
+    do not pass, whatever their names. No shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, score double"
-    return map_runs(docs, text, [key], schema, lambda batch, data, bounds: {key: batch.column(0), "score": shared.value.score(data, bounds)})
+
+    def work(batch, data, bounds):
+        return {**{c: batch.column(i) for i, c in enumerate(keep)}, "score": shared.value.score(data, bounds)}
+
+    return map_runs(docs, text, list(keep), ddl(docs, keep) + "score double", work)
