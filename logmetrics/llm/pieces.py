@@ -31,7 +31,7 @@ from logmetrics.llm.text import ddl
 
 MARK = "▁"  # fixed value: how the vocabulary writes a space
 WORD = re.compile(rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-REMEMBERED = 500_000
+REMEMBERED = 350_000
 SHORT = 40
 TEXTS_AT_ONCE = 500
 PAIRS_KEPT = 1 << 20

@@ -121,6 +121,7 @@ def measure(data: np.ndarray, bounds: np.ndarray) -> tuple[dict[str, np.ndarray]
         "n_symbols": _sums(symbol, bounds[:-1], bounds[1:]),
         "n_dup_lines": per_text(line_of[again], n),
         "n_repeat_words": per_text(owner[repeated], n),
+        "n_doubled": per_text(owner[doubled == 1], n),
     }
     chars = _sums(in_word, heads, tails)
     last_word = np.cumsum(n_words) - 1  # words come line by line
@@ -294,7 +295,7 @@ def judge(docs: DataFrame, field: Field, text: str = "text", keep: Sequence[str]
         failed = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
         part = content / np.maximum(total, 1)
         return {
-            **{c: batch.column(i) for i, c in enumerate(keep)}, **counts, "base_failed": failed, "kept": ~failed & (part >= share),
+            **{c: batch.column(i) for i, c in enumerate(keep)}, **{c: counts[c] for c in COUNTS}, "base_failed": failed, "kept": ~failed & (part >= share),
             "n_lines": per_text(lines.owner, n), "n_content_lines": per_text(lines.owner[states], n), "content_share": part,
         }
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity
+from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity, weak_quality
 from logmetrics.llm.text import read
 
 
@@ -30,6 +30,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return weak_quality.score(docs, weak_quality.fit(docs)).withColumn("kept", F.col("score") >= 0.5)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     encoded = pieces.encode(read(spark, sf_dir, "documents"), model, keep=("doc_id", "text"))
@@ -64,6 +69,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.llm.labelled import sample
+from logmetrics.llm.linear import logistic, sigmoid
 from logmetrics.llm.text import LOWER, ddl, finish, map_runs, runs
 
 ORDERS = (4, 5, 6)
@@ -27,7 +28,6 @@ SAMPLE_ROWS = 16_000
 LEAST_TEXTS = 3
 SMOOTHING = 1.0
 PENALTY = 2.0
-STEPS = 60
 
 
 def _distinct(values: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ class Model:
     def score(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         texts, buckets = _grams(data, bounds, self.weights != 0)
         sums = np.bincount(texts, weights=self.weights[buckets], minlength=len(bounds) - 1)
-        return 1 / (1 + np.exp(-np.clip(sums + self.bias, -30, 30)))
+        return sigmoid(sums + self.bias)
 
 
 def _counts(labelled: DataFrame) -> np.ndarray:
@@ -121,39 +121,12 @@ def ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_weights(rows: list[np.ndarray], labels: np.ndarray, r: np.ndarray, kept: np.ndarray) -> Model:
-    """Logistic regression on presence times ratio, by Newton steps with conjugate gradients."""
+    """Logistic regression on presence times ratio."""
     place = np.full(BUCKETS, -1)
     place[kept] = np.arange(len(kept))
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
     column = place[np.concatenate(rows)] if rows else np.zeros(0, np.int64)
-    value = r[kept][column]
-    y, n, k = labels.astype(float), len(labels), len(kept)
-
-    def times(w):
-        return np.bincount(owner, weights=value * w[column], minlength=n)
-
-    def back(v):
-        return np.bincount(column, weights=value * v[owner], minlength=k)
-
-    w, b = np.zeros(k), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
-    for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(times(w) + b, -30, 30)))
-        g, gb, d = back(p - y) + PENALTY * w, float((p - y).sum()), np.maximum(p * (1 - p), 1e-6)
-        step, sb, res, rb = np.zeros(k), 0.0, g.copy(), gb
-        way, wb, norm = res.copy(), rb, float(res @ res + rb * rb)
-        first = norm
-        for _ in range(40):
-            if norm <= 1e-4 * first or norm == 0:
-                break
-            t = d * (times(way) + wb)
-            h, hb = back(t) + PENALTY * way, float(t.sum()) + 1e-6 * wb
-            a = norm / float(way @ h + wb * hb)
-            step, sb, res, rb = step + a * way, sb + a * wb, res - a * h, rb - a * hb
-            new = float(res @ res + rb * rb)
-            way, wb, norm = res + new / norm * way, rb + new / norm * wb, new
-        w, b = w - step, b - sb
-        if first < 1e-6:
-            break
+    w, b = logistic(owner, column, r[kept][column], labels, len(kept), PENALTY)
     return Model(kept, w * r[kept], b)
 
 
