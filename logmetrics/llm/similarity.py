@@ -16,6 +16,8 @@ round looks at all such pairs, so no link between components is missed, and pair
 inside one are never needed.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,12 +27,11 @@ from logmetrics.functions.staging import stage
 from logmetrics.llm.components import components
 from logmetrics.llm.text import LOWER, finish, map_runs, powers, runs, shingle_hashes, span_hashes, word_bounds
 
-BUCKETS = 1 << 20
-BLOCK = 4096
+BUCKETS = 1 << 24
+BLOCK = 1 << 16
 LANES = 256
-PARTS = 32
+PARTS, MANY_PARTS, LARGE = 32, 256, 1500
 TOKEN_BITS = 50
-HUB_ROUNDS = 6
 BROADCAST_IDS = 1_000_000  # 16 MB; beyond that documents are shuffled to the candidates
 
 
@@ -55,49 +56,70 @@ def shingles(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.concatenate(texts), np.concatenate(values) >> np.uint64(64 - TOKEN_BITS), sizes
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype(np.int64 if counts.max() > 255 else np.uint8).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    flat = zlib.decompress(raw)
+    return np.frombuffer(flat, np.uint8 if len(flat) == BLOCK else np.int64).astype(np.int64)
+
+
 def _add_blocks(rows: DataFrame, *keys: str) -> DataFrame:
     def total(table: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("counts"))
-        return pa.table({"block": table.column("block")[:1], "lane": table.column("lane")[:1], "counts": pa.array([counts.tobytes()], pa.binary())})
+        counts = np.zeros(BLOCK, np.int64)
+        for raw in table.column("counts"):
+            counts += _unpacked(raw.as_py())
+        return pa.table({
+            "block": table.column("block")[:1], "lane": table.column("lane")[:1],
+            "counts": pa.array([_packed(counts)], pa.binary()), "total": pa.array([int(counts.sum())], pa.int64()),
+        })
 
-    return rows.groupBy(*keys).applyInArrow(total, "block int, lane int, counts binary")
+    return rows.groupBy(*keys).applyInArrow(total, "block int, lane int, counts binary, total bigint")
 
 
-def bucket_counts(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """How many shingles of all documents fall into each bucket.
+def bucket_counts(docs: DataFrame, text: str, k: int) -> DataFrame:
+    """How many shingles of all documents fall into each bucket: a written table of blocks.
 
-    A task counts its own texts and hands on its counts in blocks; blocks are added
-    up in two steps, so that no group gets more than a share of the tasks' blocks.
-    The driver gets one row of fixed size per block.
+    A task counts its own texts and hands on its counts in compressed blocks; blocks
+    are added up in two steps, so that no group gets more than a share of the tasks'.
     """
 
     def each(batches):
-        held = np.zeros(BUCKETS, np.int64)
+        held = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for _, _, data, bounds in runs(batch, text):
-                held += np.bincount((shingles(data, bounds, k)[1] % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+                np.add.at(held, (shingles(data, bounds, k)[1] % np.uint64(BUCKETS)).astype(np.int64), 1)
         blocks = held.reshape(-1, BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array([blocks[b].tobytes() for b in used], pa.binary())], ["block", "counts"]
-            )
+        for b in np.flatnonzero(blocks.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_packed(blocks[b])], pa.binary())], ["block", "counts"])
 
     own = docs.select(text).mapInArrow(each, "block int, counts binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
-    out = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
-    for row in _add_blocks(_add_blocks(own, "block", "lane"), "block").collect():
-        out[row.block] = np.frombuffer(row.counts, np.int64)
-    return out.ravel()
+    return stage(_add_blocks(_add_blocks(own, "block", "lane"), "block"), "bucket-counts")
 
 
-def frequency_classes(counts: np.ndarray) -> np.ndarray:
+def class_of(counts: np.ndarray, mean: float) -> np.ndarray:
     """0 for buckets no fuller than chance fills them, up to 13 the more they stand out."""
-    mean = counts.mean() if len(counts) else 0.0
     usual = mean + 4 * np.sqrt(mean) + 1
     over = np.maximum(counts - mean, 1) / max(usual - mean, 1)
     return np.where(counts <= usual, 0, np.clip(np.floor(np.log2(np.maximum(over, 1))) + 1, 1, 13)).astype(np.uint8)
 
 
+def frequency_classes(counted: DataFrame) -> np.ndarray:
+    """The class of each bucket; one byte per bucket comes to the driver, whatever the corpus."""
+    mean = (counted.agg(F.sum("total")).first()[0] or 0) / BUCKETS
+
+    def each(batches):
+        for batch in batches:
+            kinds = [zlib.compress(class_of(_unpacked(x.as_py()), mean).tobytes(), 1) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.binary())], ["block", "kinds"])
+
+    out = np.zeros((BUCKETS // BLOCK, BLOCK), np.uint8)
+    for row in counted.select("block", "counts").mapInArrow(each, "block int, kinds binary").collect():
+        out[row.block] = np.frombuffer(zlib.decompress(row.kinds), np.uint8)
+    return out.ravel()
+
+
 def ordered_sets(data: np.ndarray, bounds: np.ndarray, k: int, classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, token and class of the distinct shingles, each text's in the common order; by token alone without classes."""
     texts, tokens, _ = shingles(data, bounds, k)
@@ -125,15 +147,17 @@ def profiles(docs: DataFrame, key: str, text: str, k: int, percent: int, classes
         if len(tokens):
             d1[full] = np.add.reduceat(finish(tokens), first[full])
             d2[full] = np.add.reduceat(finish(tokens ^ np.uint64(0x5DEECE66D)), first[full])
-        part = (tokens // np.uint64(BUCKETS) % np.uint64(PARTS)).astype(np.int64)
-        parts = np.bincount(owner * PARTS + part, minlength=rows * PARTS).reshape(rows, PARTS).astype(np.int32)
+        width = np.where(n >= LARGE, MANY_PARTS, PARTS)
+        begin = np.cumsum(width) - width
+        part = (tokens >> np.uint64(30)).astype(np.int64) % width[owner]
+        parts = np.bincount(begin[owner] + part, minlength=int(width.sum())).astype(np.int32)
         kinds = np.bincount(owner, weights=kind, minlength=rows) / np.maximum(n, 1)
         held = np.bincount(owner[in_prefix], minlength=rows)
         offsets = pa.array(np.concatenate(([0], np.cumsum(held))).astype(np.int32))
         return {
             "v": batch.column(0), "n": n, "d1": d1.view(np.int64), "d2": d2.view(np.int64),
             "prefix": pa.ListArray.from_arrays(offsets, pa.array(tokens[in_prefix].astype(np.int64))),
-            "parts": pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * PARTS), pa.array(parts.ravel())),
+            "parts": pa.ListArray.from_arrays(pa.array(np.append(begin, len(parts)).astype(np.int32)), pa.array(parts)),
             "rank": np.rint(kinds * 1000).astype(np.int32),
         }
 
@@ -166,6 +190,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
     for side in ("a", "b"):
         pairs = pairs.join(sizes.select(F.col("v").alias(side), F.col("n").alias(f"n_{side}"), F.col("parts").alias(f"parts_{side}")), side)
     common = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    common = F.when(F.size("parts_a") == F.size("parts_b"), common).otherwise(F.least("n_a", "n_b"))
     left = stage(pairs.filter(common >= _least_overlap(F.col("n_a"), F.col("n_b"), percent)).select("a", "b").distinct(), "candidates")
     ids = stage(left.select(F.col("a").alias("v")).union(left.select("b")).distinct(), "candidate-ids")
 
@@ -230,17 +255,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     again = members.join(members.groupBy("v").agg(F.min("r").alias("a"), F.max("r").alias("z")).filter("a != z").select("v", "a"), "v")
     links = stage(links.union(again.filter("a != r").select("a", F.col("r").alias("b"))), "links")
 
-    found, everything = components(links), False
-    for round in range(1, HUB_ROUNDS + 2):
-        pairs, all_pairs = _pairs(meeting, found, percent, everything or round > HUB_ROUNDS)
+    found, before = components(links), None
+    while True:
+        pairs, before = _pairs(meeting, found, percent, before)
         if pairs is None:
             break
         new = stage(_verified(pairs, sizes, own, "v", "text", k, percent), "links")
-        everything = new.isEmpty()  # hubs find nothing more: the rest in one go
-        if not everything:
+        if not new.isEmpty():
             links = links.union(new)
             found = components(links)
-        if all_pairs:
+        if before is None:
             break
     ids = members.select("v", "r").join(found.select(F.col("v").alias("r"), "c"), "r", "left")
     ids = ids.groupBy("v").agg(F.min(F.coalesce("c", "r")).alias("component_id"))
@@ -248,27 +272,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     return out.select(F.col("v").alias(key), "n_shingles", F.coalesce("component_id", "v").alias("component_id"))
 
 
-def _pairs(meeting: DataFrame, found: DataFrame, percent: int, everything: bool) -> tuple[DataFrame | None, bool]:
-    """Pairs of different components that share a prefix shingle and pass the first filters; is that all of them?
+def _pairs(meeting: DataFrame, found: DataFrame, percent: int, before: int | None) -> tuple[DataFrame | None, int | None]:
+    """Pairs of different components that share a prefix shingle and pass the first filters; None where there are none.
 
     Per shingle the component with most documents is the main one. All pairs are
-    those of every document outside it with every other. Where these are many, each
-    shingle's hub outside meets the others instead, and the rest is left for later.
+    those of every document outside it with every other. At first, and where these are
+    many, each shingle's hub outside meets the others instead, and their number is
+    returned, to be given as ``before`` next time: hubs go on as long as a round of
+    them brings it down by a third. With all pairs None is returned instead.
     """
     here = stage(meeting.join(found, "v", "left").withColumn("c", F.coalesce("c", "v")), "met")
     sized = here.groupBy("token", "c").count()
     main = sized.groupBy("token").agg(F.max(F.struct("count", "c")).alias("main"), F.sum("count").alias("total"), F.count("*").alias("groups"))
-    open_ = stage(main.filter("groups > 1").select("token", F.col("main.c").alias("m"), (F.col("total") - F.col("main.count")).alias("outside"), "total"), "open")
-    cost, tokens = open_.agg(F.sum(F.col("outside") * F.col("total")), F.count("*")).first()
+    mixed = main.filter("groups > 1").select("token", F.col("main.c").alias("m"), (F.col("total") - F.col("main.count")).alias("outside"), "total")
+    mixed = stage(mixed, "mixed")
+    cost, total, tokens = mixed.agg(F.sum(F.col("outside") * F.col("total")), F.sum("total"), F.count("*")).first()
     if not tokens:
-        return None, True
-    rows = here.join(open_.select("token", "m"), "token")
-    all_pairs = everything or cost <= 4 * here.count()
+        return None, None
+    rows = here.join(mixed.select("token", "m"), "token")
+    all_pairs = before is not None and (cost <= 4 * total or cost > 2 * before // 3)
     outside = rows.filter("c != m")
     if not all_pairs:
         hub = F.max_by(F.struct("v", "n", "pos", "c"), F.struct("rank", "v"))
         outside = outside.groupBy("token").agg(hub.alias("hub")).select("token", "hub.*")
     left = outside.select("token", *[F.col(c).alias(f"{c}1") for c in ("v", "n", "pos", "c")])
-    met = left.join(rows.select("token", "v", "n", "pos", "c"), "token")
-    met = met.filter((F.col("c1") != F.col("c")) & _may_meet(F.col("n1"), F.col("pos1"), F.col("n"), F.col("pos"), percent))
-    return met.select(F.least("v1", "v").alias("a"), F.greatest("v1", "v").alias("b")).distinct(), all_pairs
+    met = left.join(rows.select("token", "v", "n", "pos", "c", "m"), "token")
+    # Both outside: they meet in either order, one is enough. A hub meets once.
+    once = F.lit(True) if not all_pairs else (F.col("c") == F.col("m")) | (F.col("v1") < F.col("v"))
+    met = met.filter((F.col("c1") != F.col("c")) & once & _may_meet(F.col("n1"), F.col("pos1"), F.col("n"), F.col("pos"), percent))
+    return met.select(F.least("v1", "v").alias("a"), F.greatest("v1", "v").alias("b")).distinct(), None if all_pairs else cost

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-RUN_BYTES = 2_000_000
+RUN_BYTES = 1_000_000
 RUN_TEXTS = 1000
 
 # The bytes that part words, space and tab to carriage return.
