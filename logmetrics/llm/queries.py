@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity, weak_quality
+from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity, warc, weak_quality
 from logmetrics.llm.text import read
 
 
@@ -35,6 +35,47 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.score(docs, weak_quality.fit(docs)).withColumn("kept", F.col("score") >= 0.5)
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Capture records from ``pages``: a full response and a later not-modified revisit for each.
+
+    A third of the pages stand for their host's front page, so that URLs repeat. Some
+    revisits come too early, name another or a weak entity tag, or no validator.
+    """
+    base = pages.select(
+        "page_id", F.md5("html").alias("digest"), F.expr("page_id * 7919 % 7776000").alias("sec"),
+        F.expr("CASE WHEN page_id % 3 = 0 THEN concat('http://', regexp_extract(url, '^https?://([^/?#]+)', 1), '/') ELSE url END").alias("url"),
+    ).withColumn("tag", F.expr("concat('\"', substr(digest, 1, 8), '\"')"))
+    at = lambda sec: F.timestamp_seconds(F.lit(1704067200) + F.expr(sec))
+    text = "map<string,string>"
+    response = base.select(
+        F.expr("page_id * 2").alias("record_id"), "url", at("sec").alias("ts"), F.lit(200).alias("status"),
+        F.expr("map('Content-Type', 'text/html', 'ETag', tag, 'Last-Modified', concat('T', sec), 'Date', concat('D', sec))").cast(text).alias("headers"),
+        "digest",
+    )
+    later = "sec + CASE WHEN page_id % 13 = 0 THEN -3600 ELSE 3600 * (1 + page_id % 50) END"
+    revisit = base.withColumn("later", F.expr(later)).select(
+        F.expr("page_id * 2 + 1").alias("record_id"), F.expr("replace(url, 'http://', 'HTTPS://')").alias("url"), at("later").alias("ts"),
+        F.lit(304).alias("status"),
+        F.expr("""map_filter(map(
+            'etag', CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"other"' WHEN page_id % 5 = 0 THEN concat('W/', tag) ELSE tag END,
+            'Last-Modified', CASE WHEN page_id % 11 = 0 THEN NULL ELSE concat('T', sec) END,
+            'Expires', concat('E', later), 'X-Server', 'a'), (k, v) -> v IS NOT NULL)""").cast(text).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return response.unionByName(revisit)
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(captures(read(spark, sf_dir, "pages")))
+    none = lambda c: F.coalesce(c, F.lit(""))
+    header = lambda name: none(F.col("headers")[name]).alias(name.replace("-", "_"))
+    return found.select(
+        "record_id", none(F.col("url_key")).alias("url_key"), F.coalesce("response_id", F.lit(-1)).cast("bigint").alias("response_id"),
+        none(F.col("digest")).alias("digest"), "outcome", F.coalesce(F.size("headers"), F.lit(-1)).cast("bigint").alias("n_headers"),
+        header("etag"), header("last-modified"), header("expires"),
+    )
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     encoded = pieces.encode(read(spark, sf_dir, "documents"), model, keep=("doc_id", "text"))
@@ -70,6 +111,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
@@ -84,6 +126,56 @@ _WORDS9 = (
 )
 
 ORACLES: dict[str, str] = {
+    "op4_warc_revisits": r"""
+        WITH p AS (
+            SELECT page_id, md5(html) AS digest, page_id * 7919 % 7776000 AS sec,
+                   CASE WHEN page_id % 3 = 0 THEN 'http://' || regexp_extract(url, '^https?://([^/?#]+)', 1) || '/' ELSE url END AS url
+            FROM pages
+        ),
+        q AS (SELECT *, '"' || substr(digest, 1, 8) || '"' AS tag FROM p),
+        cut AS (
+            SELECT *, trim(url) AS t,
+                   regexp_extract(trim(url), '^(?i:https?)://(?:[^/?#@]*@)?(?:(?i:www)\.)?([^/?#]+)', 1) AS host,
+                   regexp_replace(regexp_replace(trim(url), '^(?i:https?)://[^/?#]*', ''), '#.*$', '') AS rest
+            FROM q
+        ),
+        keyed AS (
+            SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT
+                       regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|phpsessid|jsessionid|sid|ref)='))), '&') AS args
+            FROM cut
+        ),
+        k AS (
+            SELECT page_id, digest, sec, tag, CASE WHEN host = '' THEN t ELSE
+                regexp_replace(lower(host), '(:80|:443|\.)+$', '') || regexp_replace(regexp_extract(rest, '^([^?]*)', 1), '/+$', '')
+                || CASE WHEN args = '' THEN '' ELSE '?' || args END END AS url_key
+            FROM keyed
+        ),
+        r AS (
+            SELECT url_key, sec, max(page_id * 2) AS response_id, arg_max(digest, page_id) AS digest, arg_max(tag, page_id) AS tag
+            FROM k GROUP BY url_key, sec
+        ),
+        v AS (
+            SELECT page_id * 2 + 1 AS record_id, url_key, sec AS own_sec,
+                   sec + CASE WHEN page_id % 13 = 0 THEN -3600 ELSE 3600 * (1 + page_id % 50) END AS later,
+                   CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"other"' WHEN page_id % 5 = 0 THEN 'W/' || tag ELSE tag END AS etag,
+                   page_id % 11 = 0 AS bare
+            FROM k
+        ),
+        j AS (
+            SELECT v.*, r.sec AS sec, r.response_id, r.digest, r.tag
+            FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.later >= r.sec
+        ),
+        o AS (
+            SELECT *, CASE WHEN response_id IS NULL THEN 'orphan' WHEN bare THEN 'unvalidated'
+                           WHEN regexp_replace(etag, '^W/', '') = tag THEN 'resolved' ELSE 'changed' END AS outcome
+            FROM j
+        )
+        SELECT record_id, coalesce(url_key, '') AS url_key, CAST(CASE WHEN ok THEN response_id ELSE -1 END AS BIGINT) AS response_id,
+               CASE WHEN ok THEN digest ELSE '' END AS digest, outcome,
+               CAST(CASE WHEN ok THEN 5 ELSE -1 END AS BIGINT) AS n_headers, CASE WHEN ok THEN coalesce(etag, tag) ELSE '' END AS etag,
+               CASE WHEN ok THEN 'T' || CASE WHEN bare THEN sec ELSE own_sec END ELSE '' END AS last_modified,
+               CASE WHEN ok THEN 'E' || later ELSE '' END AS expires
+        FROM (SELECT *, outcome IN ('resolved', 'unvalidated') AS ok FROM o)""",
     "op9_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS9} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS9} AS w FROM benchmark),
