@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, pieces, quality_rules, similarity, tokens, toxicity, warc, weak_quality
+from logmetrics.llm import decontamination, html, licences, pieces, quality_rules, similarity, tokens, toxicity, warc, weak_quality
 from logmetrics.llm.text import read
 
 
@@ -85,6 +85,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), F.size("matches").cast("bigint").alias("n_matches"), "n_sentences")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -113,6 +118,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_licence_scan": op6_licence_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
