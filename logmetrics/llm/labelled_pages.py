@@ -87,4 +87,13 @@ PAGES = [
         ("<p><a href='/5'>Frost</a></p>", 1), (f"<p>{P2}</p>", 1), ("<p><a href='/6'>Harbours</a></p>", 1), ("<p>Lent out at the moment.</p>", 1),
         ("<p><a href='/7'>Nets</a></p>", 1), ("<p><a href='/8'>Tides of the coast</a></p>", 1), ("<p>Ask at the desk.</p></article>", 1),
     ],
+    [  # links right before and behind long texts, no names to help
+        ("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", 0), (f"<div>{P1}</div>", 1), (f"<div>{P2} {P4}</div>", 1),
+        ("<div><a href='/o'>Older texts of ours</a></div>", 0), ("<div><a href='/i'>Imprint</a> <a href='/t'>Terms of use</a></div>", 0),
+    ],
+    [
+        ("<table><tr><td><a href='/a'>Boats and nets</a></td></tr></table>", 0), (f"<div>{P4} {P2}</div>", 1), ("<div>It went on.</div>", 1), (f"<div>{P1}</div>", 1),
+        ("<div><a href='/b'>What else we wrote about the coast and its harbours</a></div>", 0), (f"<div>{P2}</div>", 1),
+        ("<div><a href='/c'>Sign in</a> or <a href='/d'>join us</a></div>", 0),
+    ],
 ]

@@ -117,7 +117,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     labels = Labels(np.full((len(LABELLERS), 2, 3), 1 / 3), 0.5)
     for _ in range(rounds):
         sides = np.stack([weight * (1 - p), weight * p])
-        rates = np.stack([[np.bincount(cast[:, k], weights=side, minlength=3) + 1 for side in sides] for k in range(len(LABELLERS))])
+        rates = np.stack([[np.bincount(cast[:, k], weights=side, minlength=3) + 1.0 for side in sides] for k in range(len(LABELLERS))])
         usual = rates[:, 1] * [1, 0, 1]
         rates[:, 1] += TRUST * weight.sum() * (usual / usual.sum(axis=1, keepdims=True) * (1 - RARE) + RARE * np.array([0, 1, 0]))
         labels = Labels(rates / rates.sum(axis=2, keepdims=True), float((sides[1].sum() + 1) / (weight.sum() + 2)))
