@@ -5,6 +5,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .plans import jobs
+from .sources import LOG_FILES
 
 
 def arguments() -> argparse.Namespace:
@@ -19,11 +20,13 @@ def arguments() -> argparse.Namespace:
         return sub
 
     for name, text in (("levels", "level distribution"), ("usage", "cluster usage"), ("entries", "parsed entries as parquet")):
-        add(name, text, "root of the log tree").add_argument("--glob", default="*.log", help="names of log files")
+        add(name, text, "root of the log tree").add_argument("--glob", default=LOG_FILES, help="names of log files")
+    job.choices["entries"].add_argument("--anywhere", action="store_true", help="take time stamps inside a line, too")
     job.choices["levels"].add_argument("--sample", choices=["earliest", "hash", "none"], default="earliest")
     job.choices["usage"].add_argument("--resume", action="store_true", help="go on from the stored timeline")
     daily = add("daily", "daily trip measures", "parquet files: a path, a wildcard, or several with commas")
     daily.add_argument("--year", type=int, required=True)
+    daily.add_argument("--months", help="numbers with commas; the source is then a table by yyyy and mm")
     daily.add_argument("--exact", action="store_true", help="exact quantile, at a second scan")
     return parser.parse_args()
 
@@ -38,9 +41,11 @@ def main() -> None:
     elif args.job == "usage":
         jobs.cluster_usage(spark, args.source, args.target, args.glob, args.resume)
     elif args.job == "entries":
-        jobs.entry_table(spark, args.source, args.target, args.glob)
+        jobs.entry_table(spark, args.source, args.target, args.glob, anchored=not args.anywhere)
     else:
-        jobs.daily_report(spark, args.source.split(","), args.target, args.year, exact=args.exact).show(truncate=False)
+        months = [int(m) for m in args.months.split(",")] if args.months else None
+        source = args.source if months else args.source.split(",")
+        jobs.daily_report(spark, source, args.target, args.year, months, exact=args.exact).show(truncate=False)
     spark.stop()
 
 

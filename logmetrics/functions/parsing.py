@@ -4,14 +4,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the log format.
-LEVELS = ("INFO", "WARN", "ERROR", "DEBUG")
 STAMP = r"\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}"
 STAMP_FORMAT = "yy/MM/dd HH:mm:ss"
 MASTER_CONTAINER = "000001"
 
-ANY_LEVEL = "(" + "|".join(LEVELS) + ")"
-APPLICATION = r"application_(\d+)_(\d+)"
-CONTAINER = r"container_(\d+)_(\d+)_(\d+)_(\d+)"
+ANY_LEVEL = "(INFO|WARN|ERROR|DEBUG)"
+APPLICATION = r"application_\d+_\d+"
+CONTAINER = r"container_\d+_\d+_\d+_\d+"
 
 
 def stamp_text(line: Column, anchored: bool = True) -> Column:
@@ -57,8 +56,8 @@ def component(line: Column, style: str = "colon") -> Column:
 
 
 def message_text(line: Column) -> Column:
-    """What follows ``component: ``."""
-    return F.regexp_extract(line, ANY_LEVEL + r"\s+[^:]+:\s*(.*)$", 2)
+    """What follows ``component: ``, all lines of it."""
+    return F.regexp_extract(line, "(?s)" + ANY_LEVEL + r"\s+[^:]+:\s*(.*)$", 2)
 
 
 def application_id(path: Column) -> Column:

@@ -2,11 +2,15 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_open_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir``, or the
@@ -27,7 +31,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_scopes[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, so use no frame made from them afterwards."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -88,20 +88,36 @@ def _with_exact_quantile(
     only about 4/accuracy of a day's values are ever ranked.
 
     On a huge day that is still much, so the ranks come from a running count over
-    a thousand slices of the band.
+    a thousand slices of the band. Should a sketch miss, the counts below and above
+    its band tell so; such a day is ranked again between its least and its greatest
+    value, the same way.
 
-    The first pass has one row per calendar day, 36,525 a century. It is written
-    down, since two joins read it, and broadcast.
+    The first pass has one row per calendar day; it is written down, and so is the
+    first ranking: jobs that run while the frame is built.
     """
     margin = 2.0 / accuracy
     ends = F.array(F.lit(max(q - margin, 0.0)), F.lit(min(q + margin, 1.0)))
     band = F.percentile_approx(column, ends, accuracy)
     days = stage(
         dated.groupBy(*DAY).agg(
-            *aggregates, F.count(column).alias("_n"), band[0].alias("_low"), band[1].alias("_high")
+            *aggregates, F.count(column).alias("_n"), band[0].alias("_low"), band[1].alias("_high"),
+            F.min(column).alias("_min"), F.max(column).alias("_max"),
         ),
         "days",
     )
+    ranked = stage(_ranked_in_band(dated, days, column, q), "ranked")
+    missed = ranked.filter("_missed").select(*DAY)
+    if missed.isEmpty():
+        found = ranked
+    else:
+        wide = days.join(missed, list(DAY), "left_semi").withColumns({"_low": F.col("_min"), "_high": F.col("_max")})
+        again = _ranked_in_band(dated.join(missed, list(DAY), "left_semi"), wide, column, q)
+        found = ranked.filter("NOT _missed").unionByName(again)
+    return found.withColumnRenamed("_value", out).select(*[c for c in days.columns if not c.startswith("_")], out)
+
+
+def _ranked_in_band(dated: DataFrame, days: DataFrame, column: str, q: float) -> DataFrame:
+    """``days`` with ``_value``, the value of the wanted rank, or ``_missed`` where that lies outside the band."""
     value, low, high = F.col(column), F.col("_low"), F.col("_high")
     # Nulls count as nothing and keep a day of nulls alone in the result.
     zone = F.when(value < low, 0).when(value > high, 2).when(value.isNull(), 0).otherwise(1)
@@ -110,7 +126,7 @@ def _with_exact_quantile(
     slice_ = F.when((width > 0) & (width < float("inf")), F.floor(into / width * 1000)).otherwise(0)
     counted = (
         dated.select(*DAY, column)
-        .join(F.broadcast(days.select(*DAY, "_low", "_high")), list(DAY))
+        .join(days.select(*DAY, "_low", "_high"), list(DAY))
         .withColumn("_zone", zone)
         .withColumn("_slice", F.when(F.col("_zone") == 0, -1).when(F.col("_zone") == 2, 1001).otherwise(slice_))
         .withColumn("_value", F.when(F.col("_zone") == 1, value))
@@ -120,12 +136,11 @@ def _with_exact_quantile(
     ranked = running_total(counted, DAY, ["_zone", "_value"], F.col("_slice"), {"_times": "_upto"})
     n = F.col("_n")
     rank = F.greatest(F.ceil(n * F.lit(q)), F.lit(1))
-    missed = F.raise_error(F.lit("quantile band missed its value; use a higher accuracy"))
     return (
-        ranked.join(F.broadcast(days), list(DAY))
+        ranked.join(days, list(DAY))
         .filter(((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_times") < rank)) | (n == 0))
-        .withColumn(out, F.when((n == 0) | (F.col("_zone") == 1), F.col("_value")).otherwise(missed))
-        .select(*[c for c in days.columns if not c.startswith("_")], out)
+        .withColumn("_missed", (n > 0) & (F.col("_zone") != 1))
+        .select(*days.columns, "_value", "_missed")
     )
 
 

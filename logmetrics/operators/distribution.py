@@ -1,33 +1,40 @@
 """Histogram and density of a positive quantity on a log10 axis."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import stage
+
+MOST_GROUPS = 100_000  # rows of a few numbers that are sent to every task
+
+
+def on_axis(value: Column) -> Column:
+    """Does a number have a place on a log axis? Zero, negatives, NaN and infinity have none; never null."""
+    return F.coalesce((value > 0) & (value < float("inf")), F.lit(False))
+
 
 def log_histogram(df: DataFrame, column: str, bins_per_decade: int = 5, by: str | None = None) -> DataFrame:
     """Count per bin of log10(column).
 
-    Values that are zero or negative have no place on the axis; they are counted
-    in a row whose ``bin`` is null.
+    Values without a place on the axis (zero, negative, NaN, infinite) are counted
+    in a row whose ``bin`` is null; nulls are not counted.
     """
     value = F.col(column).cast("double")
     keys = [by] if by else []
     edge = lambda b: F.pow(F.lit(10.0), b / bins_per_decade)
     return (
         df.filter(value.isNotNull())
-        .select(*keys, F.when(value > 0, F.floor(F.log10(value) * bins_per_decade)).alias("bin"))
+        .select(*keys, F.when(on_axis(value), F.floor(F.log10(F.when(on_axis(value), value)) * bins_per_decade)).alias("bin"))
         .groupBy(*keys, "bin")
         .agg(F.count("*").alias("n"))
         .select(*keys, "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"), "n")
     )
 
 
-def _beside(df: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row with its group's row; without keys, with the only row there is."""
-    if keys:
-        return df.join(per_group, keys)
-    only = per_group.select(F.struct("*").alias("_only")).scalar()
-    return df.withColumn("_only", only).select(*df.columns, "_only.*")
+def sample_size(df: DataFrame, column: str) -> DataFrame:
+    """One row: values of a column, and those of them on the axis."""
+    value = F.col(column).cast("double")
+    return df.agg(F.count(value).alias("n"), F.count_if(on_axis(value)).alias("n_on_axis"))
 
 
 def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = None) -> DataFrame:
@@ -35,38 +42,36 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
 
     The bandwidth is Scott's: standard deviation times n^(-1/5). The grid runs
     from the smallest to the largest value. Without spread the density is null.
-    With ``by``, one density per value of that column; rows without one go.
+    With ``by``, one density per value of that column, null being one. Values
+    without a place on the axis are left out; ``log_histogram`` counts them.
 
-    Equal values are counted first. Each grid point is then one sum, so a task
-    passes on one row of ``points`` numbers per group, never value-point pairs.
+    Two scans. The first takes five numbers per group; they are written down, which
+    is a job run here, and with few groups sent to every task. In the second each
+    grid point is one sum per group, added up before anything is sent on. So no
+    value leaves its task, however large a group is.
     """
     value = F.col(column).cast("double")
     keys = [by] if by else []
-    x, n = F.col("_x"), F.col("_n")
-    # The key's condition is what the joins below would ask for, but of one side only.
-    positive = df.filter((value > 0) & F.col(by).isNotNull()) if by else df.filter(value > 0)
-    counted = positive.groupBy(*keys, F.log10(value).alias("_x")).agg(F.count("*").alias("_n"))
-    centre = counted.groupBy(*keys).agg(
-        F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.sum("_n").alias("_count"),
-        (F.sum(n * x) / F.sum(n)).alias("_mean"),
-    )
-    off = x - F.col("_mean")
-    shape = (
-        _beside(counted, centre, keys)
-        .groupBy(*keys, "_low", "_high", "_count", "_mean")
-        .agg(F.sum(n * off * off).alias("_squares"))
-        .withColumn("_sd", F.sqrt(F.col("_squares") / F.nullif(F.col("_count") - 1, F.lit(0))))
-        # Equal values leave no more than rounding.
-        .withColumn("_h", F.when(F.col("_high") > F.col("_low"), F.col("_sd") * F.pow("_count", F.lit(-0.2))))
-        .select(*keys, "_low", "_count", "_h", ((F.col("_high") - F.col("_low")) / max(points - 1, 1)).alias("_step"))
-    )
+    x = F.col("_x")
+    placed = df.filter(on_axis(value)).select(*keys, F.log10(value).alias("_x"))
+    spread = F.when(F.max("_x") > F.min("_x"), F.stddev_samp("_x") * F.pow(F.count("*"), F.lit(-0.2)))
+    shape = placed.groupBy(*keys).agg(
+        F.min("_x").alias("_low"), F.count("*").alias("_count"), spread.alias("_h"),
+        ((F.max("_x") - F.min("_x")) / max(points - 1, 1)).alias("_step"),
+    ).filter("_count > 0")
+    shape = stage(shape, "density")
+    if by:
+        side = F.broadcast(shape) if shape.count() <= MOST_GROUPS else shape
+        joined = placed.join(side, placed[by].eqNullSafe(side[by])).drop(side[by])
+    else:
+        joined = placed.withColumn("_only", shape.select(F.struct("*").alias("_only")).scalar()).select("_x", "_only.*")
     # In bandwidths from the lowest value: the value, and the step of the grid.
-    scaled = _beside(counted, shape, keys).select(
-        *keys, "_low", "_count", "_h", "_step", "_n",
+    scaled = joined.select(
+        *keys, "_low", "_count", "_h", "_step",
         ((x - F.col("_low")) / F.col("_h")).alias("_u"), (F.col("_step") / F.col("_h")).alias("_d"),
     )
     sums = scaled.groupBy(*keys, "_low", "_count", "_h", "_step").agg(
-        *[F.expr(f"sum(_n * exp(-0.5 * pow(_d * {k} - _u, 2))) AS _k{k}") for k in range(points)]
+        *[F.expr(f"sum(exp(-0.5 * pow(_d * {k} - _u, 2))) AS _k{k}") for k in range(points)]
     )
     kernels = F.array(*[f"_k{k}" for k in range(points)])
     return sums.select(

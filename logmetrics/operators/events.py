@@ -3,7 +3,8 @@
 Each extractor takes parsed entries and returns one row per matching line. A plain
 word test comes before the pattern: it is cheap, runs right behind the scan, and
 leaves few lines for the regexes. Ids are taken from the path of matching lines
-only, unless the entries carry them already.
+only, unless the entries carry them already. Lines of no application or container
+have '' there, as in the entry table.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -20,14 +21,14 @@ EXECUTOR_REQUEST = (
 )
 CONTAINER_REQUEST = r"Container request \(host: ([^,]+), capability: <memory:(\d+), vCores:(\d+)>\)"
 PYTHON_TIMES = r"Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)"
-INPUT_SPLIT = r"Input split: (.+):(\d+)\+(\d+)$"
+INPUT_SPLIT = r"(?m)Input split: (.+):(\d+)\+(\d+)$"  # on one line of an entry
 STORE_CAPACITY = r"MemoryStore started with capacity ([0-9.]+) (B|KB|MB|GB|TB)"
 STORED_BLOCK = (
     r"Block (\S+) stored as \w+ in memory \(estimated size ([0-9.]+) (B|KB|MB|GB|TB), "
     r"free ([0-9.]+) (B|KB|MB|GB|TB)\)"
 )
 BROADCAST_READ = r"Started reading broadcast variable (\d+)"
-HOST = r"@([A-Za-z0-9._-]+):\d+"
+LISTENING = r"listening on addresses :\[[^\]]*@([A-Za-z0-9._-]+):\d+"
 
 WHO = ("cluster_id", "application_id", "container_id", "ts")
 
@@ -121,12 +122,20 @@ def broadcast_reads(entries: DataFrame) -> DataFrame:
 
 
 def container_hosts(entries: DataFrame) -> DataFrame:
-    """The host each container names in its addresses."""
-    return (
-        matching(entries, mentions("@", HOST))
-        .groupBy("cluster_id", "container_id")
-        .agg(F.max(F.regexp_extract("raw", HOST, 1)).alias("host"))
-    )
+    """The host each container runs on, '' where it does not say.
+
+    A container's log names many hosts: the driver's, and an application master
+    those of all executors. Only the container's own announcement of the addresses
+    it listens on counts, the latest if there are several. Lines meet one hash
+    aggregation per file before ids are taken from the path.
+    """
+    host = F.when(F.col("raw").contains("listening on"), F.nullif(F.regexp_extract("raw", LISTENING, 1), F.lit("")))
+    said = F.when(host.isNotNull(), F.struct("ts", host.alias("host")))
+    carried = "application_id" in entries.columns
+    keys = ["cluster_id", "application_id", "container_id"] if carried else ["file_path"]
+    per_file = entries.groupBy(*keys).agg(F.max(said).alias("said"))
+    found = per_file if carried else with_ids(per_file)
+    return found.groupBy("cluster_id", "container_id").agg(F.coalesce(F.max("said")["host"], F.lit("")).alias("host"))
 
 
 def host_distribution(hosts: DataFrame) -> DataFrame:

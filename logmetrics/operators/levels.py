@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.settle import settle
 from ..sources.logs import with_ids
 from .entries import is_valid
 
@@ -60,19 +59,17 @@ def distinct_components(entries: DataFrame) -> DataFrame:
 
 
 def top_components(entries: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` components with most entries; entries without one are left out."""
+    """The ``k`` components with most entries; those without one count as ''."""
     return (
-        settle(entries, {"component": F.col("component")})
-        .filter(F.col("component") != "")
-        .groupBy("component")
+        entries.groupBy(F.coalesce("component", F.lit("")).alias("component"))
         .agg(F.count("*").alias("entries"))
         .orderBy(F.desc("entries"), "component")
         .limit(k)
     )
 
 
-def inventory_counts(lines: DataFrame) -> DataFrame:
-    """Applications, containers and lines per cluster.
+def inventory_counts(lines: DataFrame, keep_unmatched: bool = True) -> DataFrame:
+    """Applications, containers and lines per cluster; '' holds the lines of none.
 
     Lines are counted per file, then rolled up level by level. A container
     belongs to one application and that to one cluster, so no distinct count is
@@ -80,7 +77,7 @@ def inventory_counts(lines: DataFrame) -> DataFrame:
     """
     per_file = lines.groupBy("file_path").agg(F.count("*").alias("lines"))
     per_container = (
-        with_ids(per_file)
+        with_ids(per_file, keep_unmatched)
         .groupBy("cluster_id", "application_id", "container_id")
         .agg(F.sum("lines").alias("lines"))
     )
@@ -89,7 +86,7 @@ def inventory_counts(lines: DataFrame) -> DataFrame:
         F.sum("lines").alias("lines"),
     )
     return per_application.groupBy("cluster_id").agg(
-        F.count("*").alias("applications"),
+        F.count(F.nullif("application_id", F.lit(""))).alias("applications"),
         F.sum("containers").alias("containers"),
         F.sum("lines").alias("lines"),
     )

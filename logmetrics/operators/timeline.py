@@ -19,8 +19,8 @@ def _file_spans(parsed: DataFrame) -> DataFrame:
     )
 
 
-def app_timeline(parsed: DataFrame, keep_unmatched: bool = False) -> DataFrame:
-    """First and last time per application. Lines without a time do not matter."""
+def app_timeline(parsed: DataFrame, keep_unmatched: bool = True) -> DataFrame:
+    """First and last time per application; '' holds the lines of none. Lines without a time do not matter."""
     return (
         with_ids(_file_spans(parsed), keep_unmatched)
         .groupBy("cluster_id", "application_id", "app_number")
@@ -29,7 +29,7 @@ def app_timeline(parsed: DataFrame, keep_unmatched: bool = False) -> DataFrame:
 
 
 def unmatched_lines(parsed: DataFrame) -> DataFrame:
-    """How many lines ``app_timeline`` leaves out because their path has no ids."""
+    """How many lines and files name no application in their path."""
     per_file = parsed.groupBy("file_path").agg(F.count("*").alias("lines"))
     return per_file.filter(~F.col("file_path").rlike(P.APPLICATION)).agg(
         F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.count("*").alias("files")
@@ -40,11 +40,10 @@ def sorted_timeline(timeline: DataFrame) -> DataFrame:
     return timeline.orderBy("cluster_id", "app_number")
 
 
-def container_timeline(parsed: DataFrame) -> DataFrame:
-    """First time, last time and number of lines per container."""
+def container_timeline(parsed: DataFrame, keep_unmatched: bool = True) -> DataFrame:
+    """First time, last time and number of lines per container; '' holds the lines of none."""
     return (
-        with_ids(_file_spans(parsed))
-        .filter(F.col("container_id") != "")
+        with_ids(_file_spans(parsed), keep_unmatched)
         .groupBy("application_id", "container_id", "container_role")
         .agg(
             F.min("first_ts").alias("first_ts"),

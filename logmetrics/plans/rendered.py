@@ -26,7 +26,9 @@ def _path(cluster: str, app: str, seq: str) -> str:
 
 
 _EVENT_PATH = _path("user_id % 6", "user_id % 40", "1 + event_id % 3")
-_TASK_PATH = _path("o_custkey % 6", "o_custkey % 40", "2 + o_orderkey % 3")
+# Some files of no application, and among them lines of every kind.
+_MESSAGE_PATH = f"CASE WHEN event_id % 25 = 17 THEN '/misc/other.log' ELSE {_EVENT_PATH} END"
+_TASK_PATH = f"CASE WHEN o_orderkey % 25 = 17 THEN '/misc/tasks.log' ELSE {_path('o_custkey % 6', 'o_custkey % 40', '2 + o_orderkey % 3')} END"
 
 # --- events as a mixed log, with the irregular lines a parser must cope with ---
 
@@ -119,14 +121,14 @@ WHEN 3 THEN 'INFO rdd.HadoopRDD: Input split: hdfs://10.0.0.1:9000/data/f' || (u
     || (event_id * 1000) || '+' || CAST(floor(value * 1000) AS BIGINT)
 WHEN 4 THEN CASE WHEN event_id % 60 = 10
     THEN 'INFO storage.MemoryStore: MemoryStore started with capacity ' || (1 + user_id % 16) || '.5 GB'
-    ELSE 'INFO storage.MemoryStore: Block rdd_' || (user_id % 5) || '_' || event_id
+    ELSE 'INFO storage.MemoryStore: Block rdd_' || (user_id % 5) || '_' || (event_id % 7)
       || ' stored as bytes in memory (estimated size ' || CAST(floor(value * 10) AS BIGINT) || '.5 '
       || CASE WHEN event_id % 4 = 0 THEN 'KB' ELSE 'MB' END || ', free 1.2 GB)' END
 ELSE 'INFO broadcast.TorrentBroadcast: Started reading broadcast variable ' || (user_id % 10)
 END"""
 
 MESSAGES_SQL = f"""
-logs AS (SELECT event_id AS line_no, {_EVENT_PATH} AS file_path,
+logs AS (SELECT event_id AS line_no, {_MESSAGE_PATH} AS file_path,
     strftime(ts, '%y/%m/%d %H:%M:%S') || ' ' || {_MESSAGE} AS value FROM events)"""
 
 
@@ -134,27 +136,28 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as messages on requests, worker times, splits, blocks and broadcasts."""
     line = F.concat(F.date_format("ts", P.STAMP_FORMAT), F.lit(" "), F.expr(_MESSAGE))
     return _read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("line_no"), F.expr(_EVENT_PATH).alias("file_path"), line.alias("value")
+        F.col("event_id").alias("line_no"), F.expr(_MESSAGE_PATH).alias("file_path"), line.alias("value")
     )
 
 
-# --- events as address announcements ---
+# --- events as address announcements, and lines that name other hosts ---
 
-_ADDRESS = (
-    "' INFO Remoting: Remoting started; listening on addresses :[akka.tcp://executor@worker-' "
-    "|| (user_id % 8) || ':' || (30000 + user_id) || ']'"
-)
+_ADDRESS = """
+CASE WHEN event_id % 4 = 0 AND user_id % 40 <> 7
+    THEN ' INFO Remoting: Remoting started; listening on addresses :[akka.tcp://executor@worker-' || (event_id % 8) || ':' || (30000 + user_id) || ']'
+    WHEN event_id % 4 = 1 THEN ' INFO executor.CoarseGrainedExecutorBackend: Connecting to driver: akka.tcp://driver@zz-driver:' || (40000 + user_id)
+    ELSE ' INFO cluster.YarnClusterSchedulerBackend: Registered executor akka.tcp://executor@zz-worker-' || (user_id % 8) || ':4000' END"""
 
 HOSTS_SQL = f"""
-logs AS (SELECT event_id AS line_no, {_EVENT_PATH} AS file_path,
+logs AS (SELECT event_id AS line_no, {_MESSAGE_PATH} AS file_path,
     strftime(ts, '%y/%m/%d %H:%M:%S') || {_ADDRESS} AS value FROM events)"""
 
 
 def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as containers announcing the address they listen on."""
+    """``events`` as containers announcing the address they listen on, among lines that name other hosts."""
     line = F.concat(F.date_format("ts", P.STAMP_FORMAT), F.expr(_ADDRESS))
     return _read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("line_no"), F.expr(_EVENT_PATH).alias("file_path"), line.alias("value")
+        F.col("event_id").alias("line_no"), F.expr(_MESSAGE_PATH).alias("file_path"), line.alias("value")
     )
 
 
@@ -196,6 +199,21 @@ def write_log_tree(lines: DataFrame, path: str) -> None:
     )
 
 
+def container_tree(spark: SparkSession, sf_dir: str) -> str:
+    """The mixed log with one file per container, so that the number of files is known."""
+
+    def write(path: str) -> None:
+        source = F.col("file_path")
+        named = logs(spark, sf_dir).select(
+            F.coalesce(F.nullif(P.application_id(source), F.lit("")), F.lit("misc")).alias("app"),
+            F.coalesce(F.nullif(P.container_id(source), F.lit("")), F.lit("other")).alias("container"),
+            "value",
+        )
+        named.repartition("app", "container").write.partitionBy("app", "container").text(path)
+
+    return _once(spark, "containers", sf_dir, write)
+
+
 def log_tree(spark: SparkSession, sf_dir: str) -> str:
     """The mixed log as a directory tree of text files."""
     return _once(spark, "logs", sf_dir, lambda path: write_log_tree(logs(spark, sf_dir), path))

@@ -1,7 +1,7 @@
 """Scans of log trees, parquet tables and earlier results."""
 
 from .inventory import file_inventory, inventory_summary, largest_applications
-from .logs import read_logs, with_ids
+from .logs import LOG_FILES, read_logs, with_ids
 from .tables import (
     describe_source,
     existing_paths,
@@ -10,11 +10,12 @@ from .tables import (
     read_months,
     read_trips,
     register_views,
+    source_sample,
     union_all,
 )
 
 __all__ = [
-    "describe_source", "existing_paths", "file_inventory", "inventory_summary",
+    "LOG_FILES", "describe_source", "existing_paths", "file_inventory", "inventory_summary",
     "largest_applications", "load_result", "month_paths", "read_logs",
-    "read_months", "read_trips", "register_views", "union_all", "with_ids",
+    "read_months", "read_trips", "register_views", "source_sample", "union_all", "with_ids",
 ]

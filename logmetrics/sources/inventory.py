@@ -4,12 +4,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
+from .logs import LOG_FILES
 
 
-def file_inventory(spark: SparkSession, root: str, glob: str = "*.log") -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, glob: str = LOG_FILES, keep_unmatched: bool = True) -> DataFrame:
     """Files, containers and bytes per application.
 
-    Only path and length are selected, so no file is opened.
+    Only path and length are selected, so no file is opened. Files of no
+    application are counted under '' unless ``keep_unmatched`` is off.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -17,15 +19,16 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*.log") -> DataF
         .option("pathGlobFilter", glob)
         .load(root)
         .select("path", "length")
-        .filter(F.col("path").rlike(P.APPLICATION))
     )
+    if not keep_unmatched:
+        listed = listed.filter(F.col("path").rlike(P.APPLICATION))
     per_container = listed.groupBy(
         P.application_id(F.col("path")).alias("application_id"),
         P.container_id(F.col("path")).alias("container_id"),
     ).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     return per_container.groupBy("application_id").agg(
         F.sum("files").alias("files"),
-        F.count("*").alias("containers"),
+        F.count(F.nullif("container_id", F.lit(""))).alias("containers"),
         F.sum("bytes").alias("bytes"),
     )
 

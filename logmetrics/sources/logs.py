@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import parsing as P
 from ..functions.settle import settle
 
+# Names of log files: plain, rolled over, packed by a codec Spark reads; archives are not.
+LOG_FILES = "{*.log,*.log.[0-9]*,*.log.gz,*.log.bz2,stderr,stdout}"
+
 
 def read_logs(
     spark: SparkSession,
     root: str,
-    glob: str = "*.log",
+    glob: str = LOG_FILES,
     applications: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every line of every matching file below ``root``, at any depth.
@@ -38,11 +41,11 @@ def read_logs(
     )
 
 
-def with_ids(df: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+def with_ids(df: DataFrame, keep_unmatched: bool = True) -> DataFrame:
     """Add the ids that a log file's path carries.
 
-    Rows whose path names no application are dropped unless ``keep_unmatched``,
-    which leaves '' in their ids. Where lines can be reduced per file first, do
+    Rows whose path names no application have '' in their ids; without
+    ``keep_unmatched`` they go. Where lines can be reduced per file first, do
     that and call this afterwards: the path is then taken apart once per file
     instead of once per line.
     """

@@ -3,7 +3,8 @@
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,8 +78,11 @@ def read_months(
 
 
 def load_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a saved CSV result, all its part files, with given types."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Read a saved CSV result, all its part files, with given types.
+
+    A bare empty field is null, a quoted one is ''.
+    """
+    return spark.read.schema(schema).option("header", True).option("nullValue", "\\N").csv(path)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -98,22 +102,31 @@ def register_views(**frames: DataFrame) -> None:
 _PROFILE = "column_name string, data_type string, row_count bigint, problem string"
 
 
+def _problem(error: Exception) -> str:
+    """Spark's condition for a failure, or ``UNEXPECTED`` with the failure's class."""
+    known = error.getCondition() if isinstance(error, PySparkException) else None
+    if known:
+        return known
+    cause = getattr(error, "java_exception", None)
+    return f"UNEXPECTED: {cause.getClass().getName() if cause is not None else type(error).__name__}"
+
+
 def describe_source(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Columns, types and row count of a source, or why it cannot be read.
 
-    One row per column; a source that fails gives one row with ``problem`` set
-    to Spark's error condition (``PATH_NOT_FOUND`` and the like).
+    One row per column; a source that fails gives one row with ``problem`` set to
+    Spark's error condition (``PATH_NOT_FOUND`` and the like), or to ``UNEXPECTED``
+    and a class. The rows are counted here, so that a file that breaks off while
+    it is read is reported as well.
     """
     try:
         df = spark.read.format(fmt).load(path)
-    except AnalysisException as e:
-        return spark.createDataFrame([(None, None, None, e.getCondition() or "UNKNOWN")], _PROFILE)
-    columns = F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"))
-        for f in df.schema.fields
-    ])
-    return (
-        df.agg(F.count("*").alias("row_count"))
-        .select("row_count", F.inline(columns))
-        .select("column_name", "data_type", "row_count", F.lit(None).cast("string").alias("problem"))
-    )
+        rows = df.count()
+    except (PySparkException, Py4JError) as e:
+        return spark.createDataFrame([(None, None, None, _problem(e))], _PROFILE)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), rows, None) for f in df.schema.fields], _PROFILE)
+
+
+def source_sample(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows to look at: the first of an order, or any without one."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)

@@ -52,6 +52,31 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def nodes(df) -> list:
+    """Operators of the plan that ran, subqueries included; what was reused counts where it was made."""
+    found, seen = [], set()
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.startswith(("ReusedExchange", "ReusedSubquery")):
+            return None
+        if "QueryStage" in name:
+            if "Reused" in node.plan().nodeName() or node.id() in seen:
+                return None
+            seen.add(node.id())
+            return walk(node.plan())
+        found.append(node)
+        for seq in (node.children(), node.subqueries()):
+            for i in range(seq.size()):
+                walk(seq.apply(i))
+        return None
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
 def write_tree(root: Path, files: dict[str, list[str]]) -> str:
     for name, content in files.items():
         target = root / name

@@ -119,3 +119,14 @@ def test_year_of_zoned_times(spark):
     df = spark.sql("SELECT explode(array(timestamp'2020-12-31 23:59:59', timestamp'2021-01-01 00:00:00',"
                    " timestamp'2021-12-31 23:59:59.9', timestamp'2022-01-01 00:00:00')) AS at")
     assert D.in_year(df, "at", 2021).count() == 2
+
+
+def test_a_missed_band_is_widened(spark, monkeypatch):
+    """With a band that misses the rank, the days are ranked again and come out the same."""
+    data = [(datetime(2021, 1, 1 + i % 3), float(i * 7919 % 1000)) for i in range(900)]
+    df = spark.createDataFrame(data, "ts timestamp, v double").withColumn("w", F.lit(1))
+    m = D.Measures("ts", "v", "v", "v", "v", "w")
+    want = rows(D.daily_metrics(df, m, exact=True), "dt_day")
+    real = D.F.percentile_approx
+    monkeypatch.setattr(D.F, "percentile_approx", lambda c, q, a: D.F.transform(real(c, q, a), lambda x: x * 0 + 3.0))
+    assert rows(D.daily_metrics(df, m, exact=True), "dt_day") == want

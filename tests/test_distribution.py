@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from conftest import plan, rows
-from logmetrics.operators.distribution import log_density, log_histogram
+from logmetrics.operators.distribution import log_density, log_histogram, sample_size
 
 
 def kde(values, points):
@@ -62,3 +62,15 @@ def test_density_adds_up(spark):
 def test_density_joins_no_pairs(spark, data):
     text = plan(log_density(spark.createDataFrame(data, "k string, v double"), "v", by="k"))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_numbers_without_a_place_on_the_axis(spark):
+    data = [(k, v) for k in ("a", None) for v in (1.0, 10.0, 100.0, 0.0, -1.0, float("nan"), float("inf"), None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    assert sum(r.n for r in log_histogram(df, "v").filter("bin IS NULL").collect()) == 8
+    assert log_histogram(df, "v").filter("bin IS NOT NULL").agg({"n": "sum"}).first()[0] == 6
+    assert tuple(sample_size(df, "v").first()) == (14, 6)
+    dense = log_density(df, "v", points=5, by="k").collect()
+    assert len(dense) == 10 and all(0 < r.density < 1 for r in dense)
+    both = [[r.density for r in dense if r.k == k] for k in ("a", None)]
+    assert sorted(both[0]) == sorted(both[1])

@@ -85,8 +85,8 @@ def test_ids_from_path(lines, spark):
 
 def test_paths_without_ids(lines):
     other = lines("x", path="/misc/other.log")
-    assert with_ids(other).count() == 0
-    kept = with_ids(other, keep_unmatched=True).first()
+    assert with_ids(other, keep_unmatched=False).count() == 0
+    kept = with_ids(other).first()
     assert (kept.cluster_id, kept.application_id, kept.app_number, kept.container_id) == ("", "", "", "")
     assert kept.container_role is None
 

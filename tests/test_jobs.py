@@ -78,3 +78,15 @@ def test_daily_report(spark, tmp_path):
     assert 0 < half.total_trips < whole.total_trips
     assert str(half.first_day) == str(whole.first_day) and half.last_day.month == 6
     assert text(tmp_path / "a" / "daily_metrics").startswith("dt_year,dt_month,dt_day,num_trips,mean_o_totalprice,")
+
+
+def test_staged_tables_of_a_scope_go(spark):
+    from pathlib import Path
+
+    from logmetrics.functions import staging
+
+    with staging.scope(spark):
+        path = staging.new_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert Path(path).exists()
+    assert not Path(path).exists()

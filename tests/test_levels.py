@@ -74,4 +74,4 @@ def test_inventory_counts(spark):
     path = "/x/application_{0}_{1}/container_{0}_{1}_01_{2:06d}.log".format
     data = [(path(1, "0001", c),) for c in (1, 1, 2)] + [(path(1, "0002", 1),), (path(2, "0001", 1),), ("/y.log",)]
     got = levels.inventory_counts(spark.createDataFrame(data, "file_path string"))
-    assert rows(got, "cluster_id") == [("1", 2, 3, 4), ("2", 1, 1, 1)]
+    assert rows(got, "cluster_id") == [("", 0, 0, 1), ("1", 2, 3, 4), ("2", 1, 1, 1)]

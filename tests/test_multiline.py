@@ -2,7 +2,7 @@ import gzip
 import random
 
 import pytest
-from conftest import rows, write_tree
+from conftest import nodes, rows, write_tree
 from logmetrics.functions import parsing as P
 from logmetrics.operators import entries, multiline
 from logmetrics.sources import read_logs, with_ids
@@ -78,3 +78,21 @@ def test_whole_entries_parse_like_lines(spark, tmp_path):
     parsed = entries.valid_entries(entries.parse_entries(whole))
     assert [(r.level, r.raw) for r in parsed.orderBy("ts").collect()] == [
         ("INFO", HEAD.format(1, 1) + "\n\tat x ERROR"), ("INFO", HEAD.format(2, 2))]
+
+
+def test_parts_have_their_headers_fields(spark, tmp_path, small_splits):
+    values = ["lead", HEAD.format(1, 1), *[f"\tat frame {i} ERROR {'x' * 40}" for i in range(60)], HEAD.format(2, 2)]
+    whole = multiline.assemble_entries(read_logs(spark, write_tree(tmp_path, {"a.log": values})), part_lines=7, run_lines=5)
+    got = rows(entries.parse_entries(whole).select("entry_no", "part", "level", "component", "ts"), "entry_no", "part")
+    assert got[0][2:] == (None, None, None) and len(got) == 11
+    assert all(g[2:4] == ("INFO", "a.B") and str(g[4]) == "2017-03-29 10:04:01" for g in got[1:10])
+
+
+def test_text_is_shuffled_once(spark, tmp_path):
+    """For the numbering; of the assembled text only what touches a run's border."""
+    values = random_file(random.Random(3), 300, 0.3)
+    df = multiline.assemble_entries(read_logs(spark, write_tree(tmp_path, {"a.log": values})))
+    df.collect()
+    carrying = [n for n in nodes(df) if n.nodeName() == "Exchange" and "value" in [n.output().apply(i).name() for i in range(n.output().size())]]
+    below = [n.metrics().apply("shuffleRecordsWritten").value() for n in carrying]
+    assert sorted(below)[-1] == 300 and sum(below) <= 300 + 4

@@ -37,7 +37,9 @@ def test_read_logs_of_some_applications(spark, tmp_path):
 
 
 def test_inventory(spark, tmp_path):
-    found = file_inventory(spark, write_tree(tmp_path, TREE))
+    root = write_tree(tmp_path, TREE)
+    assert file_inventory(spark, root).filter("application_id = ''").count() == 1
+    found = file_inventory(spark, root, keep_unmatched=False)
     assert rows(found.select("application_id", "files", "containers", "bytes"), "application_id") == [
         (A, 2, 2, 14), (B, 1, 1, 5)]
     assert [r.application_id for r in largest_applications(found, 1).collect()] == [A]
@@ -46,6 +48,17 @@ def test_inventory(spark, tmp_path):
     assert "content" not in plan(found)
 
 
+def test_a_broken_file_is_reported(spark, tmp_path):
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 nothing PAR1")
+    got = describe_source(spark, str(tmp_path / "bad.parquet")).first()
+    assert got.problem and got.column_name is None and got.problem != "PATH_NOT_FOUND"
+
+
+def test_rolled_and_packed_logs_are_read(spark, tmp_path):
+    write_tree(tmp_path, {"a.log": ["1"], "a.log.1": ["2"], "c/stderr": ["3"], "x.zip": ["no"], "a.log.zip": ["no"], "notes.txt": ["no"]})
+    assert sorted(r.value for r in read_logs(spark, str(tmp_path)).collect()) == ["1", "2", "3"]
+
+
 def test_month_paths():
     assert month_paths("s3a://b/t/", 2021, [1, 12]) == [
         "s3a://b/t/yyyy=2021/yellow_tripdata_2021-01.parquet",

@@ -76,12 +76,14 @@ def test_timeline_from_lines(lines):
     loose, tight = entries.parse_entries(df, anchored=False), entries.parse_entries(df)
     want = [("7", "application_7_0001", "0001", ts("2017-03-29 09:59:00"), ts("2017-03-30 00:00:00")),
             ("7", "application_7_0002", "0002", None, None)]
-    assert [tuple(r) for r in T.sorted_timeline(T.app_timeline(loose)).collect()] == want
+    nobody = ("", "", "", ts("2017-03-29 10:00:00"), ts("2017-03-29 10:00:00"))
+    assert [tuple(r) for r in T.sorted_timeline(T.app_timeline(loose)).collect()] == [nobody, *want]
+    assert [tuple(r) for r in T.sorted_timeline(T.app_timeline(loose, keep_unmatched=False)).collect()] == want
     assert T.app_timeline(tight).agg(F.max("end_time")).first()[0] == ts("2017-03-29 10:00:00")
     assert rows(T.unmatched_lines(loose)) == [(2, 1)]
     assert T.app_timeline(loose, keep_unmatched=True).filter("application_id = ''").count() == 1
     per_container = rows(T.container_timeline(tight), "container_id")
-    assert [(r[2], r[5]) for r in per_container] == [("AM", 3), ("executor", 1), ("AM", 1)]
+    assert [(r[2], r[5]) for r in per_container] == [(None, 2), ("AM", 3), ("executor", 1), ("AM", 1)]
 
 
 def test_durations_of_the_largest_cluster(spark):
