@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logmetrics.functions.staging import stage
 from logmetrics.llm.labelled import sample
 from logmetrics.llm.linear import logistic, sigmoid
 from logmetrics.llm.text import LOWER, ddl, finish, map_runs, runs
@@ -87,58 +88,60 @@ class Model:
         return sigmoid(sums + self.bias)
 
 
-def _counts(labelled: DataFrame) -> np.ndarray:
-    """Texts of label 0 and 1 (rows) that hold each bucket (columns); the last column counts all."""
+def informative(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets to keep, those whose presence tells the labels apart best, and their log-count ratios.
+
+    Texts of each label that hold a bucket are counted in tasks, added up and ranked
+    by Spark; the driver gets ``FEATURES`` rows.
+    """
 
     def each(batches):
-        held = np.zeros((2, BUCKETS + 1), np.int64)
+        held = np.zeros((2, BUCKETS + 1), np.int64)  # the last column counts all texts
         for batch in batches:
             for lo, hi, data, bounds in runs(batch, "text"):
                 label = batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 texts, buckets = _grams(data, bounds)
                 for y in (0, 1):
-                    held[y, :BUCKETS] += np.bincount(buckets[label[texts] == y], minlength=BUCKETS)
+                    np.add.at(held[y], buckets[label[texts] == y], 1)
                     held[y, BUCKETS] += int((label == y).sum())
         used = np.flatnonzero(held.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[0, used]), pa.array(held[1, used])], ["bucket", "n0", "n1"])
 
-    held = labelled.mapInArrow(each, "bucket bigint, n0 bigint, n1 bigint").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    got = held.filter((F.col("n0") + F.col("n1") >= LEAST_TEXTS) | (F.col("bucket") == BUCKETS)).toPandas()
-    out = np.zeros((2, BUCKETS + 1))
-    out[0, got.bucket], out[1, got.bucket] = got.n0, got.n1
-    return out
-
-
-def ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-count ratio of each bucket, and the buckets to keep: those whose presence tells the labels apart best."""
-    n0, n1 = counts[0, -1], counts[1, -1]
-    p0, p1 = (counts[0, :-1] + SMOOTHING) / (n0 + 2 * SMOOTHING), (counts[1, :-1] + SMOOTHING) / (n1 + 2 * SMOOTHING)
-    r = np.log(p1 / p0)
-    p = counts[:, :-1].sum(axis=0) / max(1, n0 + n1)
-    gain = np.where(counts[:, :-1].sum(axis=0) >= LEAST_TEXTS, (p1 - p0) ** 2 / np.maximum(p * (1 - p), 1 / max(1, n0 + n1)), 0)
-    kept = np.argsort(-gain, kind="stable")[:FEATURES]
-    return r, np.sort(kept[gain[kept] > 0])
-
-
-def fit_weights(rows: list[np.ndarray], labels: np.ndarray, r: np.ndarray, kept: np.ndarray) -> Model:
+    sums = labelled.mapInArrow(each, "bucket bigint, n0 bigint, n1 bigint").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = stage(sums, "toxicity-counts")
+    total = counts.filter(F.col("bucket") == BUCKETS).first()
+    if total is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    share = lambda c: (F.col(c) + SMOOTHING) / F.lit(total[c] + 2 * SMOOTHING)
+    every = total.n0 + total.n1
+    p = (F.col("n0") + F.col("n1")) / F.lit(every)
+    best = (
+        counts.filter((F.col("bucket") < BUCKETS) & (F.col("n0") + F.col("n1") >= LEAST_TEXTS))
+        .select("bucket", F.log(share("n1") / share("n0")).alias("ratio"), (F.pow(share("n1") - share("n0"), F.lit(2.0)) / F.greatest(p * (1 - p), F.lit(1 / every))).alias("gain"))
+        .filter("gain > 0").orderBy(F.desc("gain"), "bucket").limit(FEATURES).toPandas().sort_values("bucket")
+    )
+    return best.bucket.to_numpy(np.int64), best.ratio.to_numpy(float)
+
+
+def fit_weights(rows: list[np.ndarray], labels: np.ndarray, kept: np.ndarray, ratio: np.ndarray) -> Model:
     """Logistic regression on presence times ratio."""
     place = np.full(BUCKETS, -1)
     place[kept] = np.arange(len(kept))
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
     column = place[np.concatenate(rows)] if rows else np.zeros(0, np.int64)
-    w, b = logistic(owner, column, r[kept][column], labels, len(kept), PENALTY)
-    return Model(kept, w * r[kept], b)
+    w, b = logistic(owner, column, ratio[column], labels, len(kept), PENALTY)
+    return Model(kept, w * ratio, b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """A model from about ``rows`` labelled texts, counted by Spark.
 
-    To the driver come one row per bucket and, per sampled text, its kept buckets
-    (at most ``FEATURES``). Without labelled rows, or with rows of one label only,
+    To the driver come the kept buckets, ``FEATURES`` at most, and which of them each
+    sampled text holds. Without labelled rows, or with rows of one label only,
     the model gives every text the same score.
     """
     labelled = sample(docs, labels, key, text, label, rows)
-    r, kept = ratios(_counts(labelled))
+    kept, ratio = informative(labelled)
     picked = np.zeros(BUCKETS, bool)
     picked[kept] = True
 
@@ -148,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return {"label": batch.column(0), "kept": [x.astype(np.int32) for x in np.split(buckets, cut)]}
 
     got = map_runs(labelled, "text", ["label", "text"], "label int, kept array<int>", work).toPandas()
-    return fit_weights([np.asarray(x, np.int64) for x in got.kept], got.label.to_numpy(), r, kept)
+    return fit_weights([np.asarray(x, np.int64) for x in got.kept], got.label.to_numpy(), kept, ratio)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
