@@ -132,6 +132,24 @@ _WORDS9 = (
 )
 
 ORACLES: dict[str, str] = {
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p : p + 2], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM w WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)
+        ),
+        sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS v, doc_id AS c FROM documents UNION SELECT sides.b, reach.c FROM reach JOIN sides ON reach.v = sides.a)
+        SELECT v AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(c) AS component_id
+        FROM reach LEFT JOIN n ON n.doc_id = v GROUP BY v""",
     "op4_warc_revisits": r"""
         WITH p AS (
             SELECT page_id, md5(html) AS digest, page_id * 7919 % 7776000 AS sec,

@@ -20,16 +20,19 @@ from pyspark.sql import functions as F
 from logmetrics.functions.staging import stage
 from logmetrics.llm.linear import logistic, sigmoid
 from logmetrics.llm.quality_rules import Lines, measure
-from logmetrics.llm.text import LOWER, ddl, finish, map_runs
+from logmetrics.llm.text import IS_WORD, LOWER, ddl, finish, map_runs
 
 SILENT, BAD, GOOD = 0, 1, 2
 BUCKETS = 1 << 16
+# Printing ASCII characters that are neither letters nor digits.
+IS_MARK = np.zeros(256, bool)
+IS_MARK[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 SAMPLE_ROWS = 6_000
 PENALTY = 0.05
 ROUNDS = 200
 TRUST, RARE = 4.0, 0.002
 
-LABELLERS = ("symbols", "letters", "repetition", "doubled", "repeated_lines", "capitals", "exclamations", "stops")
+LABELLERS = ("symbols", "letters", "lone_marks", "repetition", "doubled", "repeated_lines", "capitals", "exclamations", "stops")
 PATTERNS = 3 ** len(LABELLERS)
 
 
@@ -52,16 +55,24 @@ def votes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, dict[str, n
     letters = np.maximum(upper + tally((data >= ord("a")) & (data <= ord("z"))), 1)
     shouts = tally(data == ord("!"))
     stops = tally((data == ord(".")) | (data == ord("?"))) + shouts
+    # Words of one character that is no letter, digit or part of a longer character.
+    apart, mark = ~IS_WORD[data], IS_MARK[data]
+    before, after = np.ones(len(data), bool), np.ones(len(data), bool)
+    before[1:], after[:-1] = apart[:-1], apart[1:]
+    inner = bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(data))]
+    before[inner], after[inner - 1] = True, True
+    lone = tally(mark & before & after)
     n_lines = np.maximum(np.bincount(lines.owner, minlength=n), 1)
     some = words >= 10
     values = {
         "symbols": counts["n_symbols"] / many, "repetition": counts["n_repeat_words"] / many, "repeated_lines": counts["n_dup_lines"] / n_lines,
-        "letters": (letters + tally(((data >= ord("0")) & (data <= ord("9"))) | (data >= 0xC0)) * (words > 0)) / np.maximum(counts["word_chars"], 1), "doubled": counts["n_doubled"] / many, "capitals": upper / letters, "exclamations": shouts / many, "stops": many / np.maximum(stops, 1),
+        "letters": (letters + tally(((data >= ord("0")) & (data <= ord("9"))) | (data >= 0xC0)) * (words > 0)) / np.maximum(counts["word_chars"], 1), "lone_marks": lone / many, "doubled": counts["n_doubled"] / many, "capitals": upper / letters, "exclamations": shouts / many, "stops": many / np.maximum(stops, 1),
     }
     v = values
     cast = [
         _vote(v["symbols"] > 0.15, (words > 0) & (v["symbols"] < 0.01)),
         _vote(v["letters"] < 0.75, np.zeros(n, bool)),
+        _vote(v["lone_marks"] > 0.2, np.zeros(n, bool)),
         _vote(some & (v["repetition"] > 0.2), np.zeros(n, bool)),
         _vote(some & (v["doubled"] > 0.15), np.zeros(n, bool)),
         _vote((counts["n_dup_lines"] >= 2) & (v["repeated_lines"] > 0.2), np.zeros(n, bool)),
@@ -131,7 +142,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
 # Upper ends of the classes that the looked-at values fall into as features.
 CLASSES = {
     "symbols": (0, 0.05, 0.15, 0.5), "repetition": (0, 0.1, 0.2, 0.5), "repeated_lines": (0, 0.1, 0.3), "letters": (0.6, 0.75, 0.85),
-    "doubled": (0.02, 0.15, 0.5), "capitals": (0.05, 0.15, 0.4), "exclamations": (0, 0.1, 0.3), "stops": (1.8, 4, 15, 60, 120),
+    "lone_marks": (0, 0.05, 0.2), "doubled": (0.02, 0.15, 0.5), "capitals": (0.05, 0.15, 0.4), "exclamations": (0, 0.1, 0.3), "stops": (1.8, 4, 15, 60, 120),
 }
 
 
@@ -183,7 +194,7 @@ class Scorer:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Scorer:
     """Labels from the votes on all documents, and a scorer trained on about ``rows`` of them, picked by a hash of the key.
 
-    To the driver come the count of each vote pattern (6,561 at most) and the
+    To the driver come the count of each vote pattern (19,683 at most) and the
     features of the sample. Without documents the scorer gives every text the same.
     """
 

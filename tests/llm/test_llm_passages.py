@@ -9,7 +9,7 @@ from conftest import DATA
 from llm_fixtures import awkward, no_docs, texts  # noqa: F401
 from logmetrics.llm import decontamination, licences
 from logmetrics.llm.licence_texts import RULES
-from logmetrics.llm.queries import op4_warc_revisits, op6_licence_scan, op9_decontamination, ORACLES
+from logmetrics.llm.queries import ORACLES, op4_warc_revisits, op6_licence_scan, op7_jaccard_join, op9_decontamination
 
 ITEM = "Alpha beta gamma, delta epsilon zeta eta theta; iota KAPPA lambda mu nu"
 
@@ -80,7 +80,7 @@ def test_awkward_rows(awkward, no_docs, items, texts):
     assert decontamination.find_passages(texts("a"), items(("1", ITEM))).columns == ["doc_id", "n_words", "n_hit", "spans", "items"]
 
 
-@pytest.mark.parametrize("query", [op9_decontamination, op4_warc_revisits])
+@pytest.mark.parametrize("query", [op4_warc_revisits, op7_jaccard_join, op9_decontamination])
 def test_query_matches_sql(spark, query):
     want = oracle.connect(DATA).sql(ORACLES[query.__name__]).df()
     assert oracle.differences(query(spark, DATA).toPandas(), want) == ""
