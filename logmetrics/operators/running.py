@@ -31,8 +31,8 @@ def running_total(
 
     ``values`` maps each column to the name of its sum. ``span`` maps ``order`` to
     a range and must rise with it; the caller picks it so that one (keys, span)
-    holds few rows. (keys, order) must be unique. The result has keys, order,
-    values and sums.
+    holds few rows. (keys, order) must be unique. Rows without a key or place are
+    in no order and left out. The result has keys, order, values and sums.
     """
     keys, order, names = list(keys), list(order), list(values)
     cut = _cut(df, keys, order, names, span)
@@ -59,7 +59,7 @@ def previous_row(
 ) -> DataFrame:
     """Add struct ``out``: ``columns`` of the row before, per ``keys``; null for the first.
 
-    ``span`` as for ``running_total``. The result has keys, order, columns and ``out``.
+    ``span``, and rows without a key or place, as for ``running_total``. The result has keys, order, columns and ``out``.
     """
     keys = list(keys)
     cut = _cut(df, keys, [order], list(columns), span).withColumn("_row", F.struct(*columns))

@@ -137,6 +137,8 @@ def out_of_order_apps(timeline: DataFrame) -> DataFrame:
 
     Numbers are unique within a cluster, so a range of 10,000 numbers has at most
     that many rows.
+    Applications whose number is no bigint ('' among them) have no place in that order
+    and are left out.
     """
     numbered = timeline.withColumn("_number", F.col("app_number").try_cast("bigint"))
     return (

@@ -63,9 +63,10 @@ def nodes(df) -> list:
         if name.startswith(("ReusedExchange", "ReusedSubquery")):
             return None
         if "QueryStage" in name:
-            if "Reused" in node.plan().nodeName() or node.id() in seen:
+            same = df.sparkSession._jvm.System.identityHashCode(node.plan())
+            if "Reused" in node.plan().nodeName() or same in seen:
                 return None
-            seen.add(node.id())
+            seen.add(same)
             return walk(node.plan())
         found.append(node)
         for seq in (node.children(), node.subqueries()):
