@@ -24,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.llm.text import ddl
@@ -34,14 +34,14 @@ WORD = re.compile(rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 REMEMBERED = 350_000
 SHORT = 40
 TEXTS_AT_ONCE = 500
-PAIRS_KEPT = 1 << 20
+PAIRS_KEPT = 1 << 19
 CELLS = 400_000  # characters of words segmented at once
 FILTER_BITS = 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
-    """One vocabulary file, ready to encode and decode."""
+    """One vocabulary file, ready to encode."""
 
     def __init__(self, model: str):
         import sentencepiece
@@ -79,18 +79,6 @@ class Pieces:
         self.longest = max(by_length)
         self.known: dict[str, bytes] = {}
 
-        raw = [b""] * size
-        for i in range(size):
-            if m.is_byte(i):
-                raw[i] = bytes([int(pieces[i][3:5], 16)])
-            elif m.is_unknown(i):
-                raw[i] = " ⁇ ".encode()
-            elif not m.is_control(i):
-                raw[i] = pieces[i].replace(MARK, " ").encode()
-        self.raw = np.frombuffer(b"".join(raw), np.uint8)
-        self.raw_sizes = np.array([len(r) for r in raw], np.int64)
-        self.raw_starts = np.cumsum(self.raw_sizes) - self.raw_sizes
-
     def _learn_merges(self, rank: dict[str, int]) -> None:
         """What two pieces join to, and the two that each piece is last merged from."""
         joins = {}
@@ -238,6 +226,27 @@ class Pieces:
                     del known[w]
         return out
 
+
+class Spelling:
+    """What each id of a vocabulary file stands for: all that decoding needs."""
+
+    def __init__(self, model: str):
+        import sentencepiece
+
+        m = sentencepiece.SentencePieceProcessor(model_file=model)
+        size = m.get_piece_size()
+        raw = [b""] * size
+        for i in range(size):
+            if m.is_byte(i):
+                raw[i] = bytes([int(m.id_to_piece(i)[3:5], 16)])
+            elif m.is_unknown(i):
+                raw[i] = " ⁇ ".encode()
+            elif not m.is_control(i):
+                raw[i] = m.id_to_piece(i).replace(MARK, " ").encode()
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_sizes = np.array([len(r) for r in raw], np.int64)
+        self.raw_starts = np.cumsum(self.raw_sizes) - self.raw_sizes
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """Texts of runs of ids; bytes that make no character come back as replacement characters."""
         sizes = self.raw_sizes[ids]
@@ -256,29 +265,35 @@ def pieces_of(model: str) -> Pieces:
     return Pieces(model)
 
 
-def marked(text: Column) -> Column:
-    """What decoding gives back: the text, with a space for every space mark in it; '' for null."""
-    return F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
+@lru_cache(maxsize=2)
+def spelling_of(model: str) -> Spelling:
+    return Spelling(model)
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``ids``, equal to the library's.
+def encode(docs: DataFrame, model: str, text: str = "text", keep: Sequence[str] = ("doc_id",), verify: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``ids``, equal to the library's; with ``verify`` also ``round_trip``.
 
-    ``model`` is a SentencePiece file at the same path on every executor. One row
-    per input row; a null or empty text has no ids. ``keep`` must not hold ``ids``.
+    ``round_trip`` says whether decoding the ids gives the text back, in the task that
+    encoded it, so that neither ids nor texts travel once more. ``model`` is a
+    SentencePiece file at the same path on every executor. One row per input row; a
+    null or empty text has no ids and comes back. ``keep`` must not hold these names.
     No shuffle.
     """
-    schema = ddl(docs, keep) + "ids array<int>"
+    schema = ddl(docs, keep) + "ids array<int>" + (", round_trip boolean" if verify else "")
+    names = [*keep, "ids", *(["round_trip"] if verify else [])]
 
     def each(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(lo, TEXTS_AT_ONCE)
-                ids = pieces_of(model).encode(part.column(len(keep)).to_pylist())
-                bounds = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(keep)], pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(ids)))], [*keep, "ids"]
-                )
+                texts = part.column(len(keep)).to_pylist()
+                ids = pieces_of(model).encode(texts)
+                flat, bounds = np.concatenate(ids), np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+                columns = [*part.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))]
+                if verify:
+                    again = spelling_of(model).decode(flat.astype(np.int64), bounds)
+                    columns.append(pa.array([(t or "").replace(MARK, " ") == a for t, a in zip(texts, again)]))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(each, schema)
 
@@ -294,7 +309,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", keep: Sequence[str]
                 lists = part.column(len(keep))
                 sizes = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], np.int64)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                texts = pieces_of(model).decode(flat, np.concatenate(([0], np.cumsum(sizes))))
+                texts = spelling_of(model).decode(flat, np.concatenate(([0], np.cumsum(sizes))))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, out])
 
     return encoded.select(*keep, F.col(ids).alias("_ids")).mapInArrow(each, schema)

@@ -69,6 +69,7 @@ def test_pieces_round_trip(awkward, no_docs):
     encoded = pieces.encode(awkward, MODEL, keep=("doc_id", "text"))
     rows = pieces.decode(encoded, MODEL, keep=("doc_id", "text"), out="again").collect()
     assert len(rows) == awkward.count() and all(r.again == (r.text or "") for r in rows)
+    assert all(r.round_trip for r in pieces.encode(awkward, MODEL, verify=True).collect())
     assert pieces.decode(pieces.encode(no_docs, MODEL), MODEL).collect() == []
 
 
