@@ -17,7 +17,6 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from logmetrics.llm.labelled import sample
 from logmetrics.llm.text import IS_WORD, ddl, map_runs, per_text, shingle_hashes, span_hashes, word_bounds

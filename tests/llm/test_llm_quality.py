@@ -6,7 +6,6 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
