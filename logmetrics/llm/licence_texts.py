@@ -39,9 +39,13 @@ ISC_WARRANTY = (
     "WARRANTIES OF MERCHANTABILITY AND FITNESS."
 )
 
+BSD_ADVERTISING = "All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+BSD_SOFTWARE_BY = "This product includes software developed by the organization. "
+
 # Rules, the more specific first: (licence, text whose sentences must follow each other).
 RULES = [
     ("MIT", MIT_GRANT + MIT_NOTICE + MIT_WARRANTY),
+    ("BSD-4-Clause", BSD_GRANT + BSD_ONE + BSD_TWO + BSD_ADVERTISING + BSD_SOFTWARE_BY + BSD_THREE + BSD_WARRANTY),
     ("BSD-3-Clause", BSD_GRANT + BSD_ONE + BSD_TWO + BSD_THREE + BSD_WARRANTY),
     ("BSD-2-Clause", BSD_GRANT + BSD_ONE + BSD_TWO + BSD_WARRANTY),
     ("ISC", ISC_GRANT + ISC_WARRANTY),
@@ -52,6 +56,12 @@ RULES = [
      "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
      "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+     "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+     "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+     "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
      "with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
@@ -77,3 +87,59 @@ RULES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 ]
+
+# Other wordings of a sentence above; SLOT stands for 1 to 24 words, as a holder's name.
+SLOT = "<holder>"
+VARIANTS = [
+    (BSD_THREE, [
+        f"{start} of {SLOT} may be used to endorse or promote products derived from this {thing} without{specific} prior written permission."
+        for start in ("Neither the name", "Neither the names") for thing in ("software", "material") for specific in ("", " specific")
+    ] + [
+        f"The {names} of {SLOT} may not be used to endorse or promote products derived from this software without{specific} prior written permission."
+        for names in ("name", "names") for specific in ("", " specific")
+    ] + [f"Neither {SLOT} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]),
+    (BSD_SOFTWARE_BY, [f"This product includes software developed by {SLOT}."]),
+    (BSD_WARRANTY, [BSD_WARRANTY.replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", SLOT)]),
+    (MIT_NOTICE, [MIT_NOTICE.replace("notice shall", "notice (including the next paragraph) shall")]),
+    (MIT_WARRANTY.split(". ")[1], [MIT_WARRANTY.split(". ")[1].replace("THE AUTHORS OR COPYRIGHT HOLDERS", SLOT)]),
+    (ISC_GRANT, [ISC_GRANT.replace("and/or distribute", "and distribute")]),
+    (ISC_WARRANTY, [ISC_WARRANTY.replace("THE AUTHOR", SLOT)]),
+]
+
+# Titles and opening sentences of full texts.
+OPENINGS = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+] + [
+    (f"CC-BY{short}-4.0", "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this "
+     f'Creative Commons Attribution{long} 4.0 International Public License ("Public License").')
+    for short, long in (("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"),
+                        ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))
+]
+
+# Names in notices of any wording ("this file is licensed under the ..."), as patterns over lower-case words.
+_GNU = {"GPL": r"(?:gnu )?(?:gpl|general public licen[sc]e)(?: gpl)?", "LGPL": r"(?:gnu )?(?:lgpl|lesser general public licen[sc]e)(?: lgpl)?",
+        "AGPL": r"(?:gnu )?(?:agpl|affero general public licen[sc]e)(?: agpl)?"}
+_LATER = r"(?: licen[sc]e)?(?: or (?:at your option )?(?:any )?(?:later|newer)(?: version)?)"
+NAMES = [
+    (f"{kind}-{number}{end}", rf"{pattern}(?: version| v)? ?v?{digits}{later}")
+    for kind, pattern in _GNU.items()
+    for number, digits in (("2.0", r"2(?: 0)?(?! \d)"), ("2.1", "2 1"), ("3.0", r"3(?: 0)?(?! \d)")) if (kind, number) not in (("GPL", "2.1"), ("AGPL", "2.0"), ("AGPL", "2.1"))
+    for end, later in (("-or-later", _LATER), ("", r"(?: only)?"))
+] + [
+    ("MIT", "(?:mit|expat)"), ("Apache-2.0", r"apache(?: software)?(?: licen[sc]e)?(?: version| v)? ?v?2(?: 0)?(?! \d)(?: the licen[sc]e)?"),
+    ("BSD-2-Clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd|two clause bsd)"), ("BSD-3-Clause", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|three clause bsd)"),
+    ("ISC", "isc"), ("MPL-2.0", r"(?:mozilla public licen[sc]e|mpl)(?: version| v)? ?v?2(?: 0)?(?! \d)"), ("Unlicense", "unlicen[sc]e"),
+    ("CC0-1.0", "(?:cc0(?: 1 0)?(?: universal)?|creative commons zero(?: 1 0)?)"),
+] + [
+    (f"CC-BY{short}-4.0", rf"(?:cc by{code}|creative commons attribution{name})(?: international)? 4 0(?: international)?(?: public)?")
+    for short, code, name in (("", "", ""), ("-SA", " sa", " share ?alike"), ("-NC", " nc", " non ?commercial"), ("-ND", " nd", " no ?deriv(?:ative)?s"),
+                              ("-NC-SA", " nc sa", " non ?commercial share ?alike"), ("-NC-ND", " nc nd", " non ?commercial no ?deriv(?:ative)?s"))
+]

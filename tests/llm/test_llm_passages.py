@@ -121,3 +121,46 @@ def test_licence_query_against_plain_search(spark):
     want = {d.doc_id: ",".join(sorted(k for k, line in lines.items() if line in d.text)) for d in docs}
     got = {r.doc_id: r.licences for r in op6_licence_scan(spark, DATA.replace("0.001", "0.01")).collect()}
     assert got == want and any(want.values())
+
+
+def licences_of(text):
+    return [m[0] for m in licences.default_rules().match(text)[0]]
+
+
+BSD3, MIT = (next(text for name, text in RULES if name == licence) for licence in ("BSD-3-Clause", "MIT"))
+
+
+@pytest.mark.parametrize("holder", ["the University nor the names of its contributors", "Foo, Inc. nor the names of\nits contributors", "Google LLC"])
+def test_bsd_clause_that_names_an_organisation(holder):
+    text = BSD3.replace("the copyright holder nor the names of its contributors", holder).replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "REGENTS AND CONTRIBUTORS")
+    assert licences_of(text) == ["BSD-3-Clause"]
+
+
+def test_unknown_text_between_sentences_counts():
+    extra = "You may not use this software in any machine that is used to sort the mail of other people. "
+    assert licences_of(BSD3.replace("Neither the name", "Nobody else by the name")) == ["BSD-2-Clause variant"]
+    assert licences_of(MIT.replace("The above", extra + "The above")) == ["MIT variant"]
+    assert licences_of(MIT.replace("The above", extra * 20 + "The above")) == []
+
+
+@pytest.mark.parametrize("licence", ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"])
+def test_full_texts(licence):
+    from logmetrics.llm.licence_full_texts import FULL_TEXTS
+
+    parts = dict(FULL_TEXTS)[licence]
+    whole = "\n\n".join(parts).replace(" the ", "\n   the ")
+    assert licences_of(whole) == [licence]
+    assert set(licences_of("\n".join(parts[:-1]))) == set(licences_of("\n".join(parts[-1:]))) == {licence}
+    assert set(licences_of(whole.replace("conditions", "rules", 1))) <= {licence, f"{licence} variant"}
+
+
+@pytest.mark.parametrize("text, want", [
+    ("This file is licensed under the MIT License.", ["MIT"]), ("All code in this\nfolder is released under the terms of the GNU GPL version 2.", ["GPL-2.0"]),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+    ("The library is distributed under the LGPL v2.1 or later.", ["LGPL-2.1-or-later"]), ("This work is not licensed under the MIT License.", []),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\nint x;", ["MIT", "Apache-2.0"]), ("/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */", ["GPL-2.0"]),
+    ("SPDX-License-Identifier: BSL-1.0", ["BSL-1.0"]), ("# Title\nLicense: MIT\n", ["MIT"]), ("The MIT License is a short text.", []),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007\n", ["AGPL-3.0"]),
+])
+def test_notices_in_other_words(text, want):
+    assert licences_of(text) == want
