@@ -96,4 +96,24 @@ PAGES = [
         ("<div><a href='/b'>What else we wrote about the coast and its harbours</a></div>", 0), (f"<div>{P2}</div>", 1),
         ("<div><a href='/c'>Sign in</a> or <a href='/d'>join us</a></div>", 0),
     ],
+    [  # a page whose class names its topic: density outvotes it
+        ("<div class='social privacy'><h1>How we share the quays with others</h1>", 1), (f"<p>{P1}</p>", 1), ("<p>Nobody was hurt.</p>", 1), (f"<p>{P4}</p>", 1),
+        (f"<p>{P2} {P1}</p>", 1), ("<p><a href='/o'>Older</a></p>", 0), ("<p><a href='/i'>Imprint</a> <a href='/t'>Terms of use</a></p></div>", 0),
+    ],
+    [
+        ("<div id='reviews'><p><a href='/'>Front page</a> <a href='/n'>News</a></p>", 0), (f"<p>{P4}</p>", 1), (f"<p>{P2}</p>", 1), ("<p>Then it rained.</p>", 1),
+        (f"<p>{P1}</p></div>", 1), ("<div><a href='/l'>Log in</a></div>", 0), ("<div class='footer'>Imprint</div>", 0),
+    ],
+    [  # an article keeps all it holds, whatever its class says of its topic
+        ("<nav><a href='/'>Home</a></nav>", 0), ("<article class='post hentry category-privacy tag-social'><h1>Ice</h1>", 1), ("<p>Short.</p>", 1), (f"<p>{P1}</p></article>", 1),
+        ("<div class='comments'><p>I was there and it was worse than that, believe me, far worse.</p></div>", 0),
+    ],
+    [  # remarks below a text without names stay out, as most of the page is elsewhere
+        ("<div><a href='/'>Home</a></div>", 0), (f"<div>{P4} {P1}</div>", 1), (f"<div>{P2}</div>", 1),
+        (f"<div class='comments'><p>{P2}</p>", 0), (f"<p>{P1}</p></div>", 0), ("<div><a href='/i'>Imprint</a></div>", 0),
+    ],
+    [  # nothing but notices
+        ("<div class='login'><p>Please sign in to go on.</p>", 0), ("<p>Your name</p>", 0), ("<p><a href='/f'>Forgot it?</a></p></div>", 0),
+        ("<div class='cookie'><p>We use cookies.</p></div>", 0),
+    ],
 ]

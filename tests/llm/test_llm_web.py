@@ -164,3 +164,24 @@ def test_the_tree_is_grown_from_its_table():
     assert {html.FEATURES[f] for f in tree.feature if f >= 0} >= {"around", "main", "words"}
     with pytest.raises(ValueError):
         html.learn([[("<p>a</p><p>b</p>", 1)]])
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<article class='post type-post hentry category-privacy tag-social'>", "</article>"), ("<article class='privacy'>", "</article>"),
+    ("<div class='content comments-open'>", "</div>"), ("<main id='reviews'>", "</main>"), ("<div class='post social'><article>", "</article></div>"),
+])
+def test_class_words_do_not_lose_an_article(start, end):
+    page = f"<html><body><nav><a href='/'>Home</a></nav>{start}{BODY[9:-10]}{end}<div class='comments'><p>Me too, I was there.</p></div></body></html>"
+    assert text_of(page) == WANT
+
+
+def test_density_outvotes_a_class():
+    long = "The ice came early that year and nobody in the whole village could remember anything like it at all."
+    page = f"<div class='trending'><p><a href='/'>Home</a> <a href='/n'>News</a></p><p>{long}</p><p>{long} {long}</p></div><div class='footer'>Imprint</div>"
+    assert text_of(page) == f"{long}\n{long} {long}"
+    assert text_of(f"<div>{long} {long}</div><div>{long}</div><div class='comments'><p>{long}</p></div>") == f"{long} {long}\n{long}"
+
+
+@pytest.mark.parametrize("name", ["main-nav", "post-comments", "entry-footer", "comment-content", "article-sidebar"])
+def test_compound_classes_stay_around(name):
+    assert text_of(f"{BODY}<div class='{name}'><p>Read this other story as well, it is long enough.</p></div>") == WANT
