@@ -32,7 +32,9 @@ BREAKING = frozenset(
     "optgroup option p pre section select summary table tbody td tfoot th thead title tr ul video audio object".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template textarea title svg math iframe object video audio select".split())
+RAW = frozenset("script style title textarea".split())  # hold text only: left open, they go on to the end of the page
+SKIPPED = frozenset("template svg iframe object video audio select".split())
+STARTING = BREAKING - SKIPPED - frozenset("caption hr legend optgroup option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("li dt dd option".split())
 AROUND = frozenset("nav footer aside form menu dialog button fieldset".split())
@@ -62,7 +64,8 @@ _TAG = re.compile(
     re.S,
 )
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I | re.S)
-_CLOSE = {name: re.compile(rf"</{name}\s*[^>]*>", re.I) for name in SKIPPED}
+_CLOSE = {name: re.compile(rf"</{name}\s*[^>]*>", re.I) for name in RAW}
+_OWN = {name: re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){name}(?![a-zA-Z0-9:-])", re.I | re.S) for name in SKIPPED}
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "around", "main", "heading", "list", "hinted", "outside")
 
@@ -87,7 +90,7 @@ def _hints(name: str, attributes: str, inside_main: bool) -> tuple[bool, bool, b
     names a main text, and on an article or main element, it marks nothing around; on
     these only a remark's name does.
     """
-    around = name in AROUND or (name == "header" and not inside_main)
+    around = name in AROUND or (name in ("header", "noscript") and not inside_main)
     main, hinted = name in MAIN, False
     if attributes and "=" in attributes:
         for _, a, b, c in _NAMED.findall(attributes):
@@ -105,12 +108,30 @@ def _hints(name: str, attributes: str, inside_main: bool) -> tuple[bool, bool, b
     return around, hinted, main
 
 
+def _with_end(page: str, name: str) -> set[int]:
+    """Where those elements of a name start that have an end tag; it belongs to the last one open."""
+    begun, out = [], set()
+    for m in _OWN[name].finditer(page):
+        if m[1] == "":
+            begun.append(m.start())
+        elif m[1] and begun:
+            out.add(begun.pop())
+    return out
+
+
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page, in order, none of them empty."""
+    """The text blocks of a page, in order, none of them empty.
+
+    What a skipped element holds is passed over up to its end tag or the end of the
+    element it stands in. One without end tag of its own ends at the next text block
+    too, so it cannot take the text behind it along.
+    """
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # name, around by name, around by words, main: of this element and all it stands in
+    skips: list[bool | None] = []  # of each element of the stack: None, or whether the skipped one it stands in has an end
+    with_end: dict[str, set[int]] = {}
     opened: Counter[str] = Counter()
     n_links = 0
 
@@ -126,11 +147,19 @@ def blocks(page: str) -> list[Block]:
             parts, linked = [], []
 
     def take(text: str) -> None:
-        if text:
+        if text and not (skips and skips[-1] is not None):
             parts.append(text)
             if n_links:
                 linked.append(text + " ")
 
+    def leave() -> str:
+        nonlocal n_links
+        name = stack.pop()[0]
+        skips.pop()
+        opened[name] -= 1
+        n_links -= name == "a"
+        return name
+
     at = 0
     while found := _TAG.search(page, at):
         take(page[at : found.start()])
@@ -146,27 +175,35 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
         if closing:
             while opened[name]:
-                last = stack.pop()[0]
-                opened[last] -= 1
-                n_links -= last == "a"
-                if last == name:
+                if leave() == name:
                     break
             continue
-        if name in SKIPPED:
+        if name in STARTING:
+            while skips and skips[-1] is False:
+                leave()
+        if name in SKIPPED and attributes.rstrip().endswith("/"):
+            continue
+        if name in RAW:
             if not attributes.rstrip().endswith("/"):
                 close = _CLOSE[name].search(page, at)
                 at = close.end() if close else len(page)
             continue
         if name in EMPTY:
             continue
-        if (breaking and stack and stack[-1][0] == "p") or (name in LISTS and stack and stack[-1][0] == name):
-            opened[stack.pop()[0]] -= 1
+        if (breaking and name not in SKIPPED and stack and stack[-1][0] == "p") or (name in LISTS and stack and stack[-1][0] == name):
+            leave()
         if name == "a":
             n_links += 1
-        elif not breaking and not attributes:
+        elif not breaking and not attributes and name not in SKIPPED and name != "noscript":
             continue  # plain inline markup says nothing
         _, around, hinted, main = stack[-1] if stack else ("", False, False, False)
         by_name, by_words, here = _hints(name, attributes, main)
+        skip = skips[-1] if skips else None
+        if name in SKIPPED and not skip:
+            if name not in with_end:
+                with_end[name] = _with_end(page, name)
+            skip = found.start() in with_end[name]
+        skips.append(skip)
         opened[name] += 1
         stack.append((name, around or by_name, hinted or by_words, main or here))
     take(page[at:])

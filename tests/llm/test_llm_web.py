@@ -185,3 +185,20 @@ def test_density_outvotes_a_class():
 @pytest.mark.parametrize("name", ["main-nav", "post-comments", "entry-footer", "comment-content", "article-sidebar"])
 def test_compound_classes_stay_around(name):
     assert text_of(f"{BODY}<div class='{name}'><p>Read this other story as well, it is long enough.</p></div>") == WANT
+
+
+@pytest.mark.parametrize("name", ["video", "svg", "audio", "object", "select", "template", "iframe"])
+def test_an_element_left_open_does_not_take_the_rest(name):
+    for page in (f"<{name} src=x>{BODY}", f"<div><{name} src=x></div>{BODY}", BODY.replace("<p>Second", f"<{name}><p>Second"), BODY.replace("words", f"words<{name} src=y>", 1).replace("<p>End", f"<{name}>gone</{name}><p>End")):
+        kept = text_of(f"<html><body>{page}<footer>Imprint</footer></body></html>")
+        assert "Second bold text with a link." in kept and kept.endswith("End.") and "gone" not in kept
+    assert text_of(BODY.replace("<p>End", f"<{name}><b>gone</b> <p>gone too</p></{name}><p>End")) == WANT
+
+
+def test_raw_text_left_open_goes_on():
+    for name in ("script", "style", "textarea", "title"):
+        assert text_of(f"{BODY}<{name}><p>Not text, whatever stands here in the end of it.</p>") == WANT
+
+
+def test_math_and_noscript_of_an_article_stay():
+    assert text_of("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>A still picture.</p></noscript></article>") == "So x=2 holds.\nA still picture."
