@@ -45,7 +45,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Patterns:
     """The items of one block, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         import ahocorasick
 
         self.window = window
@@ -128,7 +128,7 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Itera
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _scan(docs: DataFrame, blocks: list[list[tuple[str, str | None]]], window: int, text: str, keep: Sequence[str], again: bool) -> DataFrame:
+def _scan(docs: DataFrame, blocks: list[list[tuple[str | None, str | None]]], window: int, text: str, keep: Sequence[str], again: bool) -> DataFrame:
     """One pass over ``docs``; ``again``: they hold what earlier passes found, and this adds to it."""
     shared = docs.sparkSession.sparkContext.broadcast(blocks)
     spans_ddl = "array<struct<start:bigint,end:bigint>>"
@@ -153,7 +153,7 @@ def _scan(docs: DataFrame, blocks: list[list[tuple[str, str | None]]], window: i
                 for i, w in enumerate(words):
                     more, hit = patterns.find(w)
                     runs[i] += more
-                    names[i].update(patterns.names[k] for k in hit)
+                    names[i].update(patterns.names[k] for k in hit if patterns.names[k] is not None)
             runs = [merged(r) for r in runs]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -180,8 +180,9 @@ def find_passages(
 
     One row per document row, repeated and null keys included. A null or empty text
     has no words and no hits; an item without words (null, empty, only symbols) hits
-    nothing; repeated items hit together; an item without id is left out. ``keep``
-    must not hold a name of these or ``_text``; other columns do not pass. No shuffle.
+    nothing; repeated items hit together; an item without id hits, but has no place in
+    ``items``. ``keep`` must not hold a name of these or ``_text``; other columns do
+    not pass. No shuffle.
 
     The items' size is measured first, one small job. Up to ``block_bytes`` of item
     text make one automaton. More items are dealt into blocks of about that size,
@@ -190,12 +191,12 @@ def find_passages(
     tasks, documents are read once for each such share, the results so far written
     in between.
     """
-    named = items.select(F.col(item_key).cast("string").alias("name"), F.col(item_text).alias("body")).filter(F.col("name").isNotNull())
+    named = items.select(F.col(item_key).cast("string").alias("name"), F.col(item_text).alias("body"))
     size = named.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     passes = max(1, -(-size // pass_bytes))
     frame = docs
     for n in range(passes):
-        share = named.filter(F.pmod(F.xxhash64("name"), F.lit(passes)) == n) if passes > 1 else named
+        share = named.filter(F.pmod(F.xxhash64("name", "body"), F.lit(passes)) == n) if passes > 1 else named
         rows = [tuple(r) for r in share.collect()]
         blocks, filled = [[]], 0
         for name, body in rows:

@@ -164,3 +164,10 @@ def test_full_texts(licence):
 ])
 def test_notices_in_other_words(text, want):
     assert licences_of(text) == want
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 50, "pass_bytes": 60}])
+def test_items_without_id_hit(texts, items, options):
+    docs = texts(ITEM, ITEM + " Tiny thing", "nothing of it")
+    got = found(docs, items((None, ITEM), ("2", "Tiny thing")), **options)
+    assert [(got[i].n_hit, got[i].items) for i in range(3)] == [(13, []), (15, ["2"]), (0, [])]
