@@ -1,9 +1,10 @@
 """Not-modified revisits resolved against earlier full responses.
 
 A revisit record says that a page had not changed and holds no body. It is joined to
-the latest earlier full response of the same canonical URL whose validators agree:
-the strong or weak entity tag if the revisit has one, else the modification time.
-The resolved record takes the response's body and headers, with those headers that a
+the latest earlier full response of the same canonical URL, and then their validators
+are compared: the strong or weak entity tag if both have one, else the modification
+time. If they differ the revisit is reported as changed and gets no body, even if an
+older response would agree. The resolved record takes the response's body and headers, with those headers that a
 not-modified answer may carry replaced by the revisit's.
 
 One URL may have a large share of all records. Its time is cut into ranges, a window
