@@ -4,8 +4,10 @@ Each stage takes all that the one before kept, as a written table, and returns t
 columns of ``documents``; the last returns token ids. A stage decides by its own
 operator: what toxicity, the quality rules and decontamination reject goes, and of
 each group of near-duplicates (five words, similarity 0.8) the document with the
-least id stays. Documents with a null text, or without words, fail the quality
-rules. Rows without id pass the near-duplicate stage as they are.
+least id stays. Of rows of the same text, whatever their ids, one stays: rows with
+an id before those without; of rows without id only such copies go. Rows that share
+an id but not the text are different documents. Documents with a null text, or
+without words, fail the quality rules.
 """
 
 from collections.abc import Callable
@@ -42,7 +44,20 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = similarity.near_duplicates(docs)
     surplus = stage(found.filter("doc_id != component_id").select("doc_id").distinct(), "surplus")
-    return similarity.matching(docs, "doc_id", surplus, "left_anti").select(*docs.columns)
+    return _each_text_once(similarity.matching(docs, "doc_id", surplus, "left_anti").select(*docs.columns))
+
+
+def _each_text_once(docs: DataFrame) -> DataFrame:
+    """Rows without exact copies; those without words are left as they are. Only rows of a repeated text are shuffled, one per task and text."""
+    names = docs.columns
+    cells = [f"_c{i}" for i in range(len(names))]
+    text, key = cells[names.index("text")], cells[names.index("doc_id")]
+    rows = docs.toDF(*cells).withColumn("_digest", F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.sha2(text, 256)))
+    repeated = stage(rows.filter("_digest IS NOT NULL").groupBy("_digest").count().filter("count > 1").select("_digest"), "repeated")
+    order = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(*cells))
+    several = similarity.matching(rows, "_digest", repeated, "left_semi").groupBy("_digest").agg(F.min_by(F.struct(*cells), order).alias("row"))
+    whole = similarity.matching(rows, "_digest", repeated, "left_anti").select(*cells).unionByName(several.select("row.*"))
+    return whole.select(*[F.col(c).alias(name) for c, name in zip(cells, names)])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,11 @@ def test_run(spark):
         docs = stage(spark, docs, DATA)
     assert ids(pipeline.run(spark, DATA)) == ids(docs)
     assert 0 < docs.count() < 200
+
+
+def test_copies_with_one_id_or_none_stay_once(spark):
+    one, two = ("one two three four five six seven eight nine ten", "all of it other words than those that stand above here")
+    rows = [(1, one), (1, one), (2, one), (3, two), (3, one + " " + two), (None, two), (None, two + " again and more of it still"), (None, two + " again and more of it still"), (None, None), (None, None), (4, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id bigint, text string, lang string")
+    got = sorted((r.doc_id or 0, r.text or "") for r in pipeline.drop_near_duplicates(spark, docs, DATA).collect())
+    assert got == sorted([(0, ""), (0, ""), (0, two + " again and more of it still"), (1, one), (3, two), (3, one + " " + two), (4, ""), (5, "")])
