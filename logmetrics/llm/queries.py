@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.llm import decontamination, html, licences, pieces, quality_rules, similarity, tokens, toxicity, warc, weak_quality
+from logmetrics.llm import (
+    alignment, decontamination, html, licences, line_dedup, pieces, quality_rules, similarity, spelling, tokens, toxicity, warc, weak_quality,
+)
 from logmetrics.llm.text import read
 
 
@@ -108,6 +110,19 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score_links(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), digest=True)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -119,6 +134,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # Words of a text in lower case, for DuckDB.
@@ -221,4 +239,17 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
                coalesce(words.n, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_line_dedup": r"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, p, lines[p] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS p FROM d)),
+        k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM l
+        ),
+        common AS (SELECT k, max(doc_id) AS top FROM k WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+        marked AS (SELECT k.*, common.top IS NOT NULL AND common.top <> k.doc_id AS gone FROM k LEFT JOIN common ON k.k = common.k)
+        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }
