@@ -10,8 +10,6 @@ an id but not the text are different documents. Documents with a null text, or
 without words, fail the quality rules.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,46 +21,24 @@ from logmetrics.llm.text import read
 TOXIC = 0.3
 
 
-def _judged(docs: DataFrame, judge: Callable[[DataFrame, str, list[str]], DataFrame], good: str) -> DataFrame:
-    """The rows for which ``good`` holds in what ``judge`` adds. Columns carry numbers meanwhile, so that no name clashes."""
-    names = docs.columns
-    numbered = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    kept = judge(numbered, numbered.columns[names.index("text")], numbered.columns).filter(good)
-    return kept.select(*[F.col(c).alias(name) for c, name in zip(numbered.columns, names)])
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").filter(~held_out()))
-    return _judged(docs, lambda d, text, keep: toxicity.score(d, model, text, keep), f"score < {TOXIC}")
+    return docs.filter(toxicity.scorer(spark, model)(F.col("text")) < TOXIC)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     field = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
-    return _judged(docs, lambda d, text, keep: quality_rules.judge(d, field, text, keep), "kept")
+    return docs.filter(quality_rules.keeper(spark, field)(F.col("text")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = similarity.near_duplicates(docs)
     surplus = stage(found.filter("doc_id != component_id").select("doc_id").distinct(), "surplus")
-    return _each_text_once(similarity.matching(docs, "doc_id", surplus, "left_anti").select(*docs.columns))
-
-
-def _each_text_once(docs: DataFrame) -> DataFrame:
-    """Rows without exact copies; those without words are left as they are. Only rows of a repeated text are shuffled, one per task and text."""
-    names = docs.columns
-    cells = [f"_c{i}" for i in range(len(names))]
-    text, key = cells[names.index("text")], cells[names.index("doc_id")]
-    rows = docs.toDF(*cells).withColumn("_digest", F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.sha2(text, 256)))
-    repeated = stage(rows.filter("_digest IS NOT NULL").groupBy("_digest").count().filter("count > 1").select("_digest"), "repeated")
-    order = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(*cells))
-    several = similarity.matching(rows, "_digest", repeated, "left_semi").groupBy("_digest").agg(F.min_by(F.struct(*cells), order).alias("row"))
-    whole = similarity.matching(rows, "_digest", repeated, "left_anti").select(*cells).unionByName(several.select("row.*"))
-    return whole.select(*[F.col(c).alias(name) for c, name in zip(cells, names)])
+    return similarity.one_per_text(similarity.matching(docs, "doc_id", surplus, "left_anti").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    items = read(spark, sf_dir, "benchmark")
-    return _judged(docs, lambda d, text, keep: decontamination.find_passages(d, items, text, keep), "n_hit = 0")
+    return decontamination.without_hits(docs, read(spark, sf_dir, "benchmark"))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,11 +13,13 @@ words lead back to offsets in the original.
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.functions.staging import stage
@@ -109,8 +111,8 @@ def character_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str, in
     """Places of runs of words in the original text, in characters."""
     raw = text.encode()
     at = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(NORMAL))]
-    chars = lambda offset: len(raw[:offset].decode())
-    return [{"start": chars(at[a][0]), "end": chars(at[b - 1][1])} for a, b in runs]
+    chars = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))  # before each byte
+    return [{"start": int(chars[at[a][0]]), "end": int(chars[at[b - 1][1]])} for a, b in runs]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
@@ -128,14 +130,14 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Itera
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _scan(docs: DataFrame, blocks: list[list[tuple[str | None, str | None]]], window: int, text: str, keep: Sequence[str], again: bool) -> DataFrame:
-    """One pass over ``docs``; ``again``: they hold what earlier passes found, and this adds to it."""
+def _scan(docs: DataFrame, blocks: list[list[tuple[str | None, str | None]]], window: int, text: str, keep: Sequence[str], again: bool, go_on: bool) -> DataFrame:
+    """One pass over ``docs``; ``again``: they hold what earlier passes found, and this adds to it; ``go_on``: another pass needs the text."""
     shared = docs.sparkSession.sparkContext.broadcast(blocks)
     spans_ddl = "array<struct<start:bigint,end:bigint>>"
     found_ddl = f"n_words bigint, n_hit bigint, spans {spans_ddl}, runs {spans_ddl}, items array<string>"
     spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     earlier = ["runs", "items"] if again else []
-    at = len(keep)
+    at, names_out = len(keep), [*keep, "_text"][: len(keep) + go_on]
 
     def each(batches):
         blocks = shared.value
@@ -157,18 +159,18 @@ def _scan(docs: DataFrame, blocks: list[list[tuple[str | None, str | None]]], wi
             runs = [merged(r) for r in runs]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *part.columns[: at + 1],
+                    *part.columns[: at + go_on],
                     pa.array([len(w) for w in words], pa.int64()),
                     pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
                     pa.array([character_spans(t, r) if r else [] for t, r in zip(texts, runs)], spans_kind),
                     pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], spans_kind),
                     pa.array([sorted(n) for n in names], pa.list_(pa.string())),
                 ],
-                [*keep, "_text", "n_words", "n_hit", "spans", "runs", "items"],
+                [*names_out, "n_words", "n_hit", "spans", "runs", "items"],
             )
 
     picked = docs.select(*keep, F.col(text).alias("_text"), *earlier)
-    return picked.mapInArrow(each, ddl(picked, [*keep, "_text"]) + found_ddl)
+    return picked.mapInArrow(each, ddl(picked, names_out) + found_ddl)
 
 
 def find_passages(
@@ -191,21 +193,63 @@ def find_passages(
     tasks, documents are read once for each such share, the results so far written
     in between.
     """
+    frame, shares = docs, _shares(items, item_key, item_text, block_bytes, pass_bytes)
+    for n, blocks in enumerate(shares):
+        if n:
+            frame = stage(frame, "passages")
+        frame = _scan(frame, blocks(), window, "_text" if n else text, keep, n > 0, n + 1 < len(shares))
+    return frame.drop("runs")
+
+
+def _shares(items: DataFrame, item_key: str, item_text: str, block_bytes: int, pass_bytes: int) -> list[Callable[[], list[list[tuple]]]]:
+    """The items as shares for one pass each; called, a share comes to the driver in blocks for one automaton each."""
     named = items.select(F.col(item_key).cast("string").alias("name"), F.col(item_text).alias("body"))
     size = named.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     passes = max(1, -(-size // pass_bytes))
-    frame = docs
-    for n in range(passes):
+
+    def blocks(n: int) -> list[list[tuple]]:
         share = named.filter(F.pmod(F.xxhash64("name", "body"), F.lit(passes)) == n) if passes > 1 else named
-        rows = [tuple(r) for r in share.collect()]
         blocks, filled = [[]], 0
-        for name, body in rows:
+        for name, body in share.collect():
             if filled >= block_bytes:
                 blocks.append([])
                 filled = 0
             blocks[-1].append((name, body))
             filled += len((body or "").encode())
-        if n:
-            frame = stage(frame, "passages")
-        frame = _scan(frame, blocks, window, "_text" if n else text, keep, n > 0)
-    return frame.drop("_text", "runs")
+        return blocks
+
+    return [partial(blocks, n) for n in range(passes)]
+
+
+def _clean(shared: Broadcast, window: int) -> Callable[[Column], Column]:
+    """Holds a text no window of the items sent?"""
+
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        blocks = shared.value
+        ready = Patterns(blocks[0], window) if len(blocks) == 1 else None
+        for batch in batches:
+            clean = np.ones(len(batch), bool)
+            for block in blocks:
+                patterns = ready or Patterns(block, window)
+                for i in np.flatnonzero(clean).tolist():
+                    clean[i] = not patterns.find(words_of(batch[i].as_py()))[0]
+            yield pa.array(clean)
+
+    return F.arrow_udf(each, "boolean")
+
+
+def without_hits(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = 10,
+    block_bytes: int = BLOCK_BYTES, pass_bytes: int = PASS_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text holds no window of any item.
+
+    As ``find_passages`` with ``n_hit = 0``, but only texts go to Python and only marks
+    come back. Beyond ``pass_bytes`` of item text what is left is written between two passes.
+    """
+    shares = _shares(items, item_key, item_text, block_bytes, pass_bytes)
+    for n, blocks in enumerate(shares):
+        shared = docs.sparkSession.sparkContext.broadcast(blocks())
+        docs = docs.filter(_clean(shared, window)(F.col(text)))
+        docs = stage(docs, "passages") if n + 1 < len(shares) else docs
+    return docs

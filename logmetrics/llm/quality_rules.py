@@ -12,14 +12,14 @@ holds for each of their lines: a mixed text teaches a little wrong, the many oth
 right.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from logmetrics.llm.labelled import sample
-from logmetrics.llm.text import IS_WORD, ddl, map_runs, per_text, shingle_hashes, span_hashes, word_bounds
+from logmetrics.llm.text import IS_WORD, ddl, map_runs, per_text, shingle_hashes, span_hashes, verdicts, word_bounds
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -273,6 +273,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return field if field.weights.any() else Field(np.zeros(WIDTH), np.zeros((2, 2)), 1.0)
 
 
+def _decided(field: Field, data: np.ndarray, bounds: np.ndarray) -> tuple[dict[str, np.ndarray], Lines, np.ndarray, np.ndarray, np.ndarray]:
+    """Base counts, lines, which lines are content, which texts fail the base, and the share of content."""
+    n = len(bounds) - 1
+    counts, lines = measure(data, bounds)
+    states = decode(field, lines) == 1
+    content, total = per_text(lines.owner[states], n, lines.chars[states]), per_text(lines.owner, n, lines.chars)
+    failed = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
+    return counts, lines, states, failed, content / np.maximum(total, 1)
+
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -288,11 +298,7 @@ def judge(docs: DataFrame, field: Field, text: str = "text", keep: Sequence[str]
 
     def work(batch, data, bounds):
         n = batch.num_rows
-        counts, lines = measure(data, bounds)
-        states = decode(shared.value, lines) == 1
-        content, total = per_text(lines.owner[states], n, lines.chars[states]), per_text(lines.owner, n, lines.chars)
-        failed = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
-        part = content / np.maximum(total, 1)
+        counts, lines, states, failed, part = _decided(shared.value, data, bounds)
         return {
             **{c: batch.column(i) for i, c in enumerate(keep)}, **{c: counts[c] for c in COUNTS}, "base_failed": failed, "kept": ~failed & (part >= share),
             "n_lines": per_text(lines.owner, n), "n_content_lines": per_text(lines.owner[states], n), "content_share": part,
@@ -303,3 +309,14 @@ def judge(docs: DataFrame, field: Field, text: str = "text", keep: Sequence[str]
         + ", base_failed boolean, kept boolean, n_lines bigint, n_content_lines bigint, content_share double"
     )
     return map_runs(docs, text, list(keep), schema, work)
+
+
+def keeper(spark: SparkSession, field: Field, share: float = SHARE) -> Callable[[Column], Column]:
+    """``kept`` as a function of a column of texts, for rows whose other columns need not go through Python."""
+    shared = spark.sparkContext.broadcast(field)
+
+    def work(data, bounds):
+        _, _, _, failed, part = _decided(shared.value, data, bounds)
+        return ~failed & (part >= share)
+
+    return verdicts("boolean", work)

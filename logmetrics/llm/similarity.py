@@ -301,3 +301,19 @@ def _pairs(meeting: DataFrame, found: DataFrame, percent: int, before: int | Non
     once = F.lit(True) if not all_pairs else (F.col("c") == F.col("m")) | (F.col("v1") < F.col("v"))
     met = met.filter((F.col("c1") != F.col("c")) & once & _may_meet(F.col("n1"), F.col("pos1"), F.col("n"), F.col("pos"), percent))
     return met.select(F.least("v1", "v").alias("a"), F.greatest("v1", "v").alias("b")).distinct(), None if all_pairs else cost
+
+
+def one_per_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows without exact copies, whatever their keys: of rows of one text that with the least key stays, before those without key.
+
+    Rows without words are left as they are. Only rows of a repeated text are shuffled, one per task and text.
+    """
+    names = docs.columns
+    cells = [f"_c{i}" for i in range(len(names))]
+    body, least = cells[names.index(text)], cells[names.index(key)]
+    rows = docs.toDF(*cells).withColumn("_digest", F.when(F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.sha2(body, 256)))
+    repeated = stage(rows.filter("_digest IS NOT NULL").groupBy("_digest").count().filter("count > 1").select("_digest"), "repeated")
+    order = F.struct(F.col(least).isNull(), F.col(least), F.xxhash64(*cells))
+    several = matching(rows, "_digest", repeated, "left_semi").groupBy("_digest").agg(F.min_by(F.struct(*cells), order).alias("row"))
+    whole = matching(rows, "_digest", repeated, "left_anti").select(*cells).unionByName(several.select("row.*"))
+    return whole.select(*[F.col(c).alias(name) for c, name in zip(cells, names)])

@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 RUN_BYTES = 1_000_000
 RUN_TEXTS = 1000
@@ -45,7 +46,11 @@ def runs(batch: pa.RecordBatch, column: str, limit: int = RUN_BYTES) -> Iterator
     ``bounds`` has one entry more than the run has texts and starts at 0. A null
     is an empty text.
     """
-    array = batch.column(batch.schema.get_field_index(column))
+    return array_runs(batch.column(batch.schema.get_field_index(column)), limit)
+
+
+def array_runs(array: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``runs`` of the texts of one array."""
     if array.null_count:
         array = array.fill_null("")
     if pa.types.is_large_string(array.type):
@@ -124,7 +129,20 @@ def per_text(owner: np.ndarray, n: int, values: np.ndarray | None = None) -> np.
     return np.rint(np.bincount(owner, weights=values, minlength=n)).astype(np.int64)
 
 
-def map_runs(df: DataFrame, column: str, columns: list[str], schema: str, work: Callable) -> DataFrame:
+def verdicts(kind: str, work: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: int = RUN_BYTES) -> Callable[[Column], Column]:
+    """A function of a column of texts: ``work`` makes a value of each text of a run.
+
+    Only texts go to Python and only values come back, whatever else the rows hold.
+    """
+
+    def each(texts: pa.Array) -> pa.Array:
+        found = [work(data, bounds) for _, _, data, bounds in array_runs(texts, limit)]
+        return pa.array(np.concatenate(found) if found else [])
+
+    return F.arrow_udf(each, kind)
+
+
+def map_runs(df: DataFrame, column: str, columns: list[str], schema: str, work: Callable, limit: int = RUN_BYTES) -> DataFrame:
     """Rows that ``work`` makes of each run.
 
     ``work(kept, data, bounds)`` gets the run's ``columns`` as an Arrow batch and
@@ -138,7 +156,7 @@ def map_runs(df: DataFrame, column: str, columns: list[str], schema: str, work:
 
     def each(batches):
         for batch in batches:
-            for lo, hi, data, bounds in runs(batch, column):
+            for lo, hi, data, bounds in runs(batch, column, limit):
                 got = work(batch.slice(lo, hi - lo), data, bounds)
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in out], schema=out)
 

@@ -8,19 +8,19 @@ trained on presence times ratio. A text's score is the sum of the weights of the
 kept buckets that it holds, through the logistic function.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logmetrics.functions.staging import stage
 from logmetrics.llm.labelled import sample
 from logmetrics.llm.linear import logistic, sigmoid
-from logmetrics.llm.text import LOWER, ddl, finish, map_runs, runs
+from logmetrics.llm.text import LOWER, ddl, finish, map_runs, runs, verdicts
 
 ORDERS = (4, 5, 6)
 BUCKETS = 1 << 20
@@ -29,6 +29,7 @@ SAMPLE_ROWS = 16_000
 LEAST_TEXTS = 3
 SMOOTHING = 1.0
 PENALTY = 2.0
+SCORED_BYTES = 200_000  # of texts scored at once: 30 bytes of arrays per byte, three times
 
 
 def _distinct(values: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,4 +167,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str]
     def work(batch, data, bounds):
         return {**{c: batch.column(i) for i, c in enumerate(keep)}, "score": shared.value.score(data, bounds)}
 
-    return map_runs(docs, text, list(keep), ddl(docs, keep) + "score double", work)
+    return map_runs(docs, text, list(keep), ddl(docs, keep) + "score double", work, SCORED_BYTES)
+
+
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """``score`` as a function of a column of texts, for rows whose other columns need not go through Python."""
+    shared = spark.sparkContext.broadcast(model)
+    return verdicts("double", lambda data, bounds: shared.value.score(data, bounds), SCORED_BYTES)

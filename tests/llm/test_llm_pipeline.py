@@ -25,7 +25,7 @@ def ids(df):
 def test_stages_and_registration():
     assert [name for name, _ in pipeline.STAGES] == ["toxicity", "quality_rules", "jaccard_join", "decontamination", "sentencepiece"]
     assert queries()["pipeline"] is pipeline.run
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_toxicity_stage(spark, documents):
@@ -86,3 +86,24 @@ def test_copies_with_one_id_or_none_stay_once(spark):
     docs = spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id bigint, text string, lang string")
     got = sorted((r.doc_id or 0, r.text or "") for r in pipeline.drop_near_duplicates(spark, docs, DATA).collect())
     assert got == sorted([(0, ""), (0, ""), (0, two + " again and more of it still"), (1, one), (3, two), (3, one + " " + two), (4, ""), (5, "")])
+
+
+def test_an_empty_table_goes_through_every_stage(spark, documents):
+    none = documents.limit(0)
+    for _, work in pipeline.STAGES:
+        assert work(spark, none, DATA).collect() == []
+
+
+def test_only_texts_go_through_python(spark, documents):
+    """The stages that judge send one column to Python and get one back."""
+    for work in (pipeline.drop_toxic, pipeline.drop_poor, pipeline.drop_contaminated):
+        nodes = work(spark, documents, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" in nodes and "MapInArrow" not in nodes
+
+
+def test_items_in_several_passes(spark, documents):
+    items = read(spark, DATA, "benchmark")
+    want = ids(pipeline.drop_contaminated(spark, documents, DATA))
+    size = sum(len(r.text.encode()) for r in items.collect())
+    got = pipeline.decontamination.without_hits(documents, items, block_bytes=size // 8, pass_bytes=size // 3)
+    assert ids(got) == want and got.columns == documents.columns
