@@ -75,3 +75,20 @@ def previous_row(
         .join(carried, [*keys, "_span"])
         .select(*keys, order, *columns, F.coalesce("_inside", "_carried").alias(out))
     )
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: Column, value: str, out: str) -> DataFrame:
+    """Add ``out``: the greatest ``value`` of all rows before, per ``keys`` in the order of ``order``; null for the first.
+
+    ``span``, (keys, order) and rows without a key or place as for ``running_total``.
+    """
+    keys, order = list(keys), list(order)
+    cut = _cut(df, keys, order, [value], span)
+    inside = Window.partitionBy(*keys, "_span").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy(*keys, "_span").agg(F.max(value).alias("_max")).select(*keys, "_span", F.max("_max").over(earlier).alias("_carried"))
+    return (
+        cut.withColumn("_inside", F.max(value).over(inside))
+        .join(carried, [*keys, "_span"])
+        .select(*keys, *order, value, F.greatest("_inside", "_carried").alias(out))
+    )

@@ -8,7 +8,7 @@ from ..sources.logs import with_ids
 from .running import previous_row, running_total
 
 
-def _file_spans(parsed: DataFrame) -> DataFrame:
+def file_spans(parsed: DataFrame) -> DataFrame:
     """First time, last time and number of lines per file.
 
     Everything below starts here, so that a line meets one hash aggregation and
@@ -21,8 +21,13 @@ def _file_spans(parsed: DataFrame) -> DataFrame:
 
 def app_timeline(parsed: DataFrame, keep_unmatched: bool = True) -> DataFrame:
     """First and last time per application; '' holds the lines of none. Lines without a time do not matter."""
+    return timeline_of_files(file_spans(parsed), keep_unmatched)
+
+
+def timeline_of_files(spans: DataFrame, keep_unmatched: bool = True) -> DataFrame:
+    """The timeline from the spans of files, for spans that were stored."""
     return (
-        with_ids(_file_spans(parsed), keep_unmatched)
+        with_ids(spans, keep_unmatched)
         .groupBy("cluster_id", "application_id", "app_number")
         .agg(F.min("first_ts").alias("start_time"), F.max("last_ts").alias("end_time"))
     )
@@ -43,7 +48,7 @@ def sorted_timeline(timeline: DataFrame) -> DataFrame:
 def container_timeline(parsed: DataFrame, keep_unmatched: bool = True) -> DataFrame:
     """First time, last time and number of lines per container; '' holds the lines of none."""
     return (
-        with_ids(_file_spans(parsed), keep_unmatched)
+        with_ids(file_spans(parsed), keep_unmatched)
         .groupBy("application_id", "container_id", "container_role")
         .agg(
             F.min("first_ts").alias("first_ts"),

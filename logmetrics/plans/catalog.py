@@ -979,3 +979,6 @@ def _(spark, sf_dir):
     placed = with_ids(lines, keep_unmatched=True)
     # Two lines to a part, so that many entries have several.
     return multiline.assemble_entries(placed, ("application_id", "container_id"), part_lines=2)
+
+
+from . import catalog_state  # noqa: E402, F401  (adds its queries)

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 # Fixed value: how the public monthly trip files are named.
 MONTH_FILE = "yyyy={year}/yellow_tripdata_{year}-{month:02d}.parquet"
 
+# Fixed value: what Spark puts into a folder when a write is complete.
+COMMIT_MARK = "_SUCCESS"
+
 
 def month_paths(
     base: str, year: int, months: Iterable[int] = range(1, 13), template: str = MONTH_FILE
@@ -77,11 +80,27 @@ def read_months(
     )
 
 
-def load_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """What lies right below a folder; nothing if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [str(s.getPath().toString()) for s in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Has a written folder the mark that Spark leaves when all of it is there?"""
+    return any(p.endswith(f"/{COMMIT_MARK}") for p in list_folder(spark, path))
+
+
+def load_result(spark: SparkSession, path: str, schema: T.StructType, marked: bool = True) -> DataFrame:
     """Read a saved CSV result, all its part files, with given types.
 
-    A bare empty field is null, a quoted one is ''.
+    A bare empty field is null, a quoted one is ''. A folder without the mark of a
+    finished write is refused, since parts may be missing; ``marked=False`` reads
+    results of writers that leave none.
     """
+    if marked and not is_complete(spark, path):
+        raise FileNotFoundError(f"{path} is not there or not whole: it has no {COMMIT_MARK}")
     return spark.read.schema(schema).option("header", True).option("nullValue", "\\N").csv(path)
 
 
