@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.staging import stage
 
+CELLS = 256  # per bandwidth of a density
 MOST_GROUPS = 100_000  # rows of a few numbers that are sent to every task
 
 
@@ -46,9 +47,13 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
     without a place on the axis are left out; ``log_histogram`` counts them.
 
     Two scans. The first takes five numbers per group; they are written down, which
-    is a job run here, and with few groups sent to every task. In the second each
-    grid point is one sum per group, added up before anything is sent on. So no
-    value leaves its task, however large a group is.
+    is a job run here, and with few groups sent to every task. In the second a
+    value is added to its cell, one of ``CELLS`` per bandwidth: number, and sums of the
+    distance from the middle to the third power. The kernels are worked out per cell
+    and grid point from these, by the first four terms of their series in that
+    distance. What is left out is at most 1/8 (2 ``CELLS``)^-4 of a kernel's height
+    per value, 2e-12. So a value costs four sums whatever the grid, and leaves its
+    task in a cell's row only.
     """
     value = F.col(column).cast("double")
     keys = [by] if by else []
@@ -70,8 +75,16 @@ def log_density(df: DataFrame, column: str, points: int = 50, by: str | None = N
         *keys, "_low", "_count", "_h", "_step",
         ((x - F.col("_low")) / F.col("_h")).alias("_u"), (F.col("_step") / F.col("_h")).alias("_d"),
     )
-    sums = scaled.groupBy(*keys, "_low", "_count", "_h", "_step").agg(
-        *[F.expr(f"sum(exp(-0.5 * pow(_d * {k} - _u, 2))) AS _k{k}") for k in range(points)]
+    # In bandwidths from the lowest value, too: the middle of a value's cell, and its distance from that.
+    cell = ((F.floor(F.col("_u") * CELLS) + 0.5) / CELLS).alias("_at")
+    placed = scaled.select("*", cell).withColumn("_e", F.col("_u") - F.col("_at"))
+    shape_columns = ["_low", "_count", "_h", "_step", "_d"]
+    cells = placed.groupBy(*keys, *shape_columns, "_at").agg(
+        F.count("*").alias("_m0"), F.sum("_e").alias("_m1"), F.sum(F.expr("_e * _e")).alias("_m2"), F.sum(F.expr("_e * _e * _e")).alias("_m3")
+    )
+    series = "exp(-0.5 * {z} * {z}) * (_m0 + {z} * _m1 + ({z} * {z} - 1) / 2 * _m2 + ({z} * {z} - 3) * {z} / 6 * _m3)"
+    sums = cells.groupBy(*keys, "_low", "_count", "_h", "_step").agg(
+        *[F.expr(f"sum({series.format(z=f'(_d * {k} - _at)')}) AS _k{k}") for k in range(points)]
     )
     kernels = F.array(*[f"_k{k}" for k in range(points)])
     return sums.select(

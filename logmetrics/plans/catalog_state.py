@@ -1,14 +1,16 @@
 """Queries on files that changed, on stored states, and on stretches of time."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.staging import new_path, stage
 from ..operators import daily as D
-from ..operators import intervals, sketches
-from ..sources import read_drifting
-from . import incremental
+from ..operators import entries, events, heavy, intervals, memory, sketches, tasks
+from ..sources import read_drifting, union_all
+from . import bucketed, incremental
 from . import rendered as R
-from .catalog import _ORDERS_ALL, _TASKS_SQL, _TIMELINE_SQL, ORDERS, _durations, _parsed, _parsed_sql, _rounded, _table, _timeline, query
+from .catalog import _ORDERS_ALL, _TASKS_SQL, _TIMELINE_SQL, LEVEL, ORACLES, ORDERS, _durations, _parsed, _parsed_sql, _table, _timeline, query
 
 
 @query("drifting_months", """
@@ -92,3 +94,32 @@ SELECT application_id, count(gap) + 1 AS islands, max(e) - min(s) AS wall_second
   coalesce(max(gap), 0) AS longest_gap FROM gaps GROUP BY application_id""")
 def _(spark, sf_dir):
     return intervals.stage_islands(_durations(spark, sf_dir))
+
+
+@query("heavy_components", _parsed_sql() + f"""
+SELECT regexp_extract(value, '{LEVEL}\\s+([^:]+):', 2) AS component, count(*) AS entries FROM valid
+GROUP BY ALL ORDER BY entries DESC, component LIMIT 20""")
+def _(spark, sf_dir):
+    return heavy.heavy_components(entries.valid_entries(_parsed(spark, sf_dir)))
+
+
+def _in_buckets(spark, parsed):
+    name = f"entries_{uuid.uuid4().hex}"
+    return bucketed.store_in_buckets(parsed, name, new_path(spark, "bucketed"), buckets=16)
+
+
+@query("bucketed_task_durations", _TASKS_SQL + " SELECT * FROM durations")
+def _(spark, sf_dir):
+    stored = _in_buckets(spark, entries.parse_entries(R.tasks(spark, sf_dir)))
+    return tasks.task_durations(tasks.task_spans(tasks.task_events(stored)))
+
+
+@query("bucketed_failures", ORACLES["failures"])
+def _(spark, sf_dir):
+    both = union_all([R.tasks(spark, sf_dir), R.logs(spark, sf_dir)])
+    return tasks.failures(entries.valid_entries(_in_buckets(spark, entries.parse_entries(both))))
+
+
+@query("bucketed_memory_usage", ORACLES["memory_usage"])
+def _(spark, sf_dir):
+    return memory.memory_usage(events.memory_blocks(_in_buckets(spark, entries.parse_entries(R.messages(spark, sf_dir)))))

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from conftest import plan, rows
+from conftest import nodes, plan, rows
 from logmetrics.operators.distribution import log_density, log_histogram, sample_size
 
 
@@ -74,3 +74,22 @@ def test_numbers_without_a_place_on_the_axis(spark):
     assert len(dense) == 10 and all(0 < r.density < 1 for r in dense)
     both = [[r.density for r in dense if r.k == k] for k in ("a", None)]
     assert sorted(both[0]) == sorted(both[1])
+
+
+def test_density_within_its_bound(spark):
+    """Against the kernels of every value, in units of a kernel's height."""
+    rnd = random.Random(3)
+    values = [10 ** rnd.gauss(0, 0.7) for _ in range(3000)] + [10 ** rnd.gauss(2, 0.01) for _ in range(3000)]
+    grid, want = kde(values, 50)
+    got = rows(log_density(spark.createDataFrame([(v,) for v in values], "v double"), "v"), "point")
+    x = np.log10(values)
+    height = 1 / (x.std(ddof=1) * len(x) ** -0.2 * math.sqrt(2 * math.pi))
+    assert max(abs(g[2] - w) for g, w in zip(got, want)) <= height * (2 * 256) ** -4 / 8 + 1e-13
+
+
+def test_values_leave_their_task_as_cells(spark):
+    df = spark.range(200_000, numPartitions=4).selectExpr("CAST(1 + id % 50000 AS double) AS v")
+    got = log_density(df, "v")
+    got.collect()
+    made = [n.metrics().apply("shuffleRecordsWritten").value() for n in nodes(got) if n.nodeName() == "Exchange"]
+    assert made and max(made) < 4 * 256 * 100
