@@ -16,8 +16,8 @@ def tokenizer_path(name: str) -> str:
 
 
 def held_out(key: str = "doc_id"):
-    """Is the row kept out of training?"""
-    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) == 2
+    """Is the row kept out of training? A row without key is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

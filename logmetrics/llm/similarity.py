@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from logmetrics.functions.staging import stage
 from logmetrics.llm.components import components
-from logmetrics.llm.text import LOWER, finish, map_runs, powers, runs, shingle_hashes, span_hashes, word_bounds
+from logmetrics.llm.text import LOWER, finish, map_runs, powers, release, runs, shingle_hashes, span_hashes, word_bounds
 
 BUCKETS = 1 << 24
 BLOCK = 1 << 16
@@ -93,6 +93,8 @@ def bucket_counts(docs: DataFrame, text: str, k: int) -> DataFrame:
         blocks = held.reshape(-1, BLOCK)
         for b in np.flatnonzero(blocks.any(axis=1)):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_packed(blocks[b])], pa.binary())], ["block", "counts"])
+        del held, blocks
+        release()
 
     own = docs.select(text).mapInArrow(each, "block int, counts binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
     return stage(_add_blocks(_add_blocks(own, "block", "lane"), "block"), "bucket-counts")
@@ -135,6 +137,7 @@ def profiles(docs: DataFrame, key: str, text: str, k: int, percent: int, classes
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def work(batch, data, bounds):
+        release()
         rows = batch.num_rows
         owner, tokens, kind = ordered_sets(data, bounds, k, shared.value)
         n = np.bincount(owner, minlength=rows)
@@ -195,6 +198,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
     ids = stage(left.select(F.col("a").alias("v")).union(left.select("b")).distinct(), "candidate-ids")
 
     def sets(batch, data, bounds):
+        release()
         owner, tokens, _ = ordered_sets(data, bounds, k)
         n = np.bincount(owner, minlength=batch.num_rows)
         ends = np.cumsum(n)
@@ -218,6 +222,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
                 same = both - len(np.unique(np.concatenate((mine, other))))
                 links[i] = 100 * same >= percent * (both - same)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(links)), batch.column(1).filter(pa.array(links))], ["a", "b"])
+        release()
 
     kind = docs.schema[key].dataType.simpleString()
     joined = left.join(held_b, "b").join(held_a, "a").select("a", "b", "held_a", "held_b")

@@ -6,7 +6,9 @@ so a task's memory does not grow with the table; only a single text longer than
 that makes a longer run.
 """
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -129,15 +131,24 @@ def per_text(owner: np.ndarray, n: int, values: np.ndarray | None = None) -> np.
     return np.rint(np.bincount(owner, weights=values, minlength=n)).astype(np.int64)
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries do without
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def verdicts(kind: str, work: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: int = RUN_BYTES) -> Callable[[Column], Column]:
     """A function of a column of texts: ``work`` makes a value of each text of a run.
 
     Only texts go to Python and only values come back, whatever else the rows hold.
     """
 
-    def each(texts: pa.Array) -> pa.Array:
-        found = [work(data, bounds) for _, _, data, bounds in array_runs(texts, limit)]
-        return pa.array(np.concatenate(found) if found else [])
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [work(data, bounds) for _, _, data, bounds in array_runs(texts, limit)]
+            yield pa.array(np.concatenate(found) if found else [])
+            release()
 
     return F.arrow_udf(each, kind)
 

@@ -107,3 +107,8 @@ def test_items_in_several_passes(spark, documents):
     size = sum(len(r.text.encode()) for r in items.collect())
     got = pipeline.decontamination.without_hits(documents, items, block_bytes=size // 8, pass_bytes=size // 3)
     assert ids(got) == want and got.columns == documents.columns
+
+
+def test_rows_without_key_are_not_held_out(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "doc_id bigint").select("doc_id", held_out().alias("h")).collect()
+    assert all(isinstance(r.h, bool) for r in rows) and not rows[0].h
