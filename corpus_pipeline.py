@@ -20,28 +20,43 @@ from logmetrics.llm.text import read
 
 TOXIC = 0.3
 
+# Rows and bytes that a task sends to Python at once. By default it is up to 64 MB of texts, held
+# several times outside the heap of an executor that has 3,000 MB in all.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Sets how texts go to Python, for this session; it changes no result."""
+    for setting, value in BATCHES.items():
+        spark.conf.set(setting, value)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").filter(~held_out()))
     return docs.filter(toxicity.scorer(spark, model)(F.col("text")) < TOXIC)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     field = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
     return docs.filter(quality_rules.keeper(spark, field)(F.col("text")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     found = similarity.near_duplicates(docs)
     surplus = stage(found.filter("doc_id != component_id").select("doc_id").distinct(), "surplus")
     return similarity.one_per_text(similarity.matching(docs, "doc_id", surplus, "left_anti").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return decontamination.without_hits(docs, read(spark, sf_dir, "benchmark"))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     encoded = pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"))
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 

@@ -29,7 +29,7 @@ SAMPLE_ROWS = 16_000
 LEAST_TEXTS = 3
 SMOOTHING = 1.0
 PENALTY = 2.0
-SCORED_BYTES = 200_000  # of texts scored at once: 30 bytes of arrays per byte, three times
+SCORED_BYTES = 200_000  # of texts taken at once: several hundred bytes of arrays per byte
 
 
 def _distinct(values: np.ndarray, owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +99,7 @@ def informative(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def each(batches):
         held = np.zeros((2, BUCKETS + 1), np.int64)  # the last column counts all texts
         for batch in batches:
-            for lo, hi, data, bounds in runs(batch, "text"):
+            for lo, hi, data, bounds in runs(batch, "text", SCORED_BYTES):
                 label = batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 texts, buckets = _grams(data, bounds)
                 for y in (0, 1):
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         cut = np.searchsorted(texts, np.arange(1, batch.num_rows))
         return {"label": batch.column(0), "kept": [x.astype(np.int32) for x in np.split(buckets, cut)]}
 
-    got = map_runs(labelled, "text", ["label", "text"], "label int, kept array<int>", work).toPandas()
+    got = map_runs(labelled, "text", ["label", "text"], "label int, kept array<int>", work, SCORED_BYTES).toPandas()
     return fit_weights([np.asarray(x, np.int64) for x in got.kept], got.label.to_numpy(), kept, ratio)
 
 
