@@ -32,6 +32,8 @@ BLOCK = 1 << 16
 LANES = 256
 PARTS, MANY_PARTS, LARGE = 32, 256, 1500
 TOKEN_BITS = 50
+HASHED_BYTES = 200_000  # of texts taken at once: about a hundred bytes of arrays per byte
+PIECE = 1 << 14
 BROADCAST_IDS = 1_000_000  # 16 MB; beyond that documents are shuffled to the candidates
 
 
@@ -85,15 +87,24 @@ def bucket_counts(docs: DataFrame, text: str, k: int) -> DataFrame:
     are added up in two steps, so that no group gets more than a share of the tasks'.
     """
 
+    def blocks(held):
+        parts = held.reshape(-1, BLOCK)
+        for b in np.flatnonzero(parts.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_packed(parts[b])], pa.binary())], ["block", "counts"])
+
     def each(batches):
-        held = np.zeros(BUCKETS, np.int32)
+        held = np.zeros(BUCKETS, np.uint16)  # handed on before a bucket is full
         for batch in batches:
-            for _, _, data, bounds in runs(batch, text):
-                np.add.at(held, (shingles(data, bounds, k)[1] % np.uint64(BUCKETS)).astype(np.int64), 1)
-        blocks = held.reshape(-1, BLOCK)
-        for b in np.flatnonzero(blocks.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_packed(blocks[b])], pa.binary())], ["block", "counts"])
-        del held, blocks
+            for _, _, data, bounds in runs(batch, text, HASHED_BYTES):
+                found = (shingles(data, bounds, k)[1] % np.uint64(BUCKETS)).astype(np.int64)
+                for lo in range(0, len(found), PIECE):
+                    piece = found[lo : lo + PIECE]
+                    if held[piece].max() > np.iinfo(np.uint16).max - PIECE:
+                        yield from blocks(held)
+                        held[:] = 0
+                    np.add.at(held, piece, 1)
+        yield from blocks(held)
+        del held
         release()
 
     own = docs.select(text).mapInArrow(each, "block int, counts binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
@@ -166,7 +177,7 @@ def profiles(docs: DataFrame, key: str, text: str, k: int, percent: int, classes
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"v {kind}, n int, d1 bigint, d2 bigint, prefix array<bigint>, parts array<int>, rank int"
-    return map_runs(docs.select(F.col(key).alias("v"), F.col(text).alias("text")), "text", ["v"], schema, work)
+    return map_runs(docs.select(F.col(key).alias("v"), F.col(text).alias("text")), "text", ["v"], schema, work, HASHED_BYTES)
 
 
 def _least_overlap(n1: Column, n2: Column, percent: int) -> Column:
@@ -205,7 +216,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, tex
         return {"v": batch.column(0), "held": [tokens[e - m : e].tobytes() for e, m in zip(ends, n)]}
 
     texts = matching(docs.select(F.col(key).alias("v"), F.col(text).alias("text")), "v", ids, "left_semi")
-    held = map_runs(texts, "text", ["v"], f"v {docs.schema[key].dataType.simpleString()}, held binary", sets)
+    held = map_runs(texts, "text", ["v"], f"v {docs.schema[key].dataType.simpleString()}, held binary", sets, HASHED_BYTES)
     held_a, held_b = (held.select(F.col("v").alias(s), F.col("held").alias(f"held_{s}")) for s in ("a", "b"))
 
     def compare(batches):

@@ -105,3 +105,17 @@ def test_components(spark):
     want = {i: 0 for i in range(1, 41)} | {b: 100 for _, b in edges[40:80] if b != 100} | {201: 200}
     assert got == want
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_bucket_counts_beyond_what_a_task_holds(spark):
+    """A bucket met oftener than 16 bits hold, in one text and over several, among rare ones."""
+    many = ["same " * 150_000, "one two three four", None, "", "same " * 70_000 + "one two three four"]
+    docs = spark.createDataFrame([(t,) for t in many], "text string").coalesce(1)
+    found = similarity.bucket_counts(docs, "text", 3)
+    held = {}
+    for row in found.collect():
+        counts = similarity._unpacked(row.counts)
+        assert row.total == counts.sum()
+        held |= {(row.block, int(i)): int(counts[i]) for i in np.flatnonzero(counts)}
+    # same same same: 149,998 and 69,998; one two three, two three four: twice; two shingles across the change of words
+    assert sorted(held.values()) == [1, 1, 2, 2, 219_996]
