@@ -30,7 +30,6 @@ IS_MARK[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 SAMPLE_ROWS = 6_000
 PENALTY = 0.05
 ROUNDS = 200
-TRUST, RARE = 4.0, 0.002
 
 LABELLERS = ("symbols", "letters", "lone_marks", "repetition", "doubled", "repeated_lines", "capitals", "exclamations", "stops")
 PATTERNS = 3 ** len(LABELLERS)
@@ -118,10 +117,8 @@ class Labels:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> Labels:
     """Expectation-maximisation, begun with documents that nobody calls bad as likely good.
 
-    One vote of each kind is added on each side, so no rate is 0. A labeller's bad
-    votes on good documents are held rare by a prior that weighs ``TRUST`` times the
-    documents: without it, a fault that one labeller sees and the others do not can
-    pass as that labeller's noise.
+    One vote of each kind is added on each side, so no rate is 0; beyond that all
+    rates follow the documents.
     """
     cast, weight = votes_of(patterns), counts.astype(float)
     p = np.where((cast == BAD).any(axis=1), 0.15, 0.9)
@@ -129,8 +126,6 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     for _ in range(rounds):
         sides = np.stack([weight * (1 - p), weight * p])
         rates = np.stack([[np.bincount(cast[:, k], weights=side, minlength=3) + 1.0 for side in sides] for k in range(len(LABELLERS))])
-        usual = rates[:, 1] * [1, 0, 1]
-        rates[:, 1] += TRUST * weight.sum() * (usual / usual.sum(axis=1, keepdims=True) * (1 - RARE) + RARE * np.array([0, 1, 0]))
         labels = Labels(rates / rates.sum(axis=2, keepdims=True), float((sides[1].sum() + 1) / (weight.sum() + 2)))
         new = labels.posterior(patterns)
         if len(p) == 0 or np.abs(new - p).max() < 1e-6:
