@@ -6,10 +6,12 @@ marks each as content or boilerplate (Viterbi decoding); the share of word
 characters in content lines decides whether the text is kept.
 
 Line features are indicators, free of language: how many words and of what length,
-symbols, capitals, exclamation marks, digits, the last character, repetition inside
-the text, place in the text. The field is trained on labelled texts, whose label
-holds for each of their lines: a mixed text teaches a little wrong, the many others
-right.
+symbols, capitals, exclamation marks, digits, repetition inside the text, place in
+the text. The field is trained on labelled texts, whose label holds for each of
+their lines: a mixed text teaches a little wrong, the many others right. Texts of
+one label alone would teach that lines never differ from their neighbours, so half
+of the rarer label's texts, and as many of the other's, are cut into short runs of
+lines and joined by turns; the steps between states are learnt from both kinds.
 """
 
 from collections.abc import Callable, Sequence
@@ -27,7 +29,10 @@ MOST_REPEATED = 20  # per hundred words
 SHARE = 0.5
 SAMPLE_ROWS = 4_000
 ROUNDS = 120
-STEP_LIMIT = 0.5  # labels hold for texts: free steps would learn that lines never differ from their neighbours
+# Of a sampled text the driver gets at most so many runs of so many lines, evenly spread over the whole text.
+RUNS, RUN_LINES = 8, 32
+MIXED_RUN = 8  # lines at most of one label in a row, where texts are mixed to learn the steps
+MIXED_RUNS = 6  # runs at most in such a mixture
 
 # Characters that count as symbols.
 _SYMBOLS = np.zeros(256, bool)
@@ -247,29 +252,76 @@ def train(lines: Lines, labels: np.ndarray, penalty: float = 2.0, rounds: int =
         size = np.clip(np.where(turn > 0, size * 1.2, np.where(turn < 0, size * 0.5, size)), 1e-5, 1.0)
         slope = np.where(turn < 0, 0, slope)
         theta, before = theta + np.sign(slope) * size, slope
-        theta[WIDTH : WIDTH + 4] = np.clip(theta[WIDTH : WIDTH + 4], -STEP_LIMIT, STEP_LIMIT)
     return Field(theta[:WIDTH], theta[WIDTH : WIDTH + 4].reshape(2, 2), float(theta[-1]))
 
 
+def _spread(active: np.ndarray) -> np.ndarray:
+    """All lines of a text of up to ``RUNS`` runs; of a longer one so many runs, evenly spread from its first to its last."""
+    runs = -(-len(active) // RUN_LINES)
+    if runs <= RUNS:
+        return active
+    picked = np.linspace(0, runs - 1, RUNS).astype(int)
+    return np.concatenate([active[r * RUN_LINES : (r + 1) * RUN_LINES] for r in picked])
+
+
+def mixtures(texts: list[np.ndarray], labels: np.ndarray) -> tuple[Lines, np.ndarray]:
+    """Sequences to train on, and the state of each of their lines.
+
+    Half of the rarer label's texts and as many of the other's are cut into runs of 1
+    to ``MIXED_RUN`` lines, and 2 to ``MIXED_RUNS`` runs at a time, the labels by turns,
+    make a sequence; the other texts stay whole. Each line's place is that in its
+    sequence. The same texts give the same sequences, whatever their order.
+    """
+    rng = np.random.RandomState(0)
+    order = sorted((i for i in range(len(texts)) if len(texts[i])), key=lambda i: texts[i].tobytes())
+    sides = [rng.permutation([i for i in order if labels[i] == y]).astype(int) for y in (0, 1)]
+    cut = min(len(sides[0]), len(sides[1])) // 2
+    runs: list[list[np.ndarray]] = [[], []]
+    for y in (0, 1):
+        for i in sides[y][:cut]:
+            ends = np.cumsum(rng.randint(1, MIXED_RUN + 1, len(texts[i])))
+            runs[y] += np.split(texts[i], ends[ends < len(texts[i])])
+        runs[y] = [runs[y][j] for j in rng.permutation(len(runs[y]))]
+    sequences = [[(y, texts[i])] for y in (0, 1) for i in sides[y][cut:]]
+    while runs[0] and runs[1]:
+        mixture, y = [], int(rng.randint(2))
+        for _ in range(rng.randint(2, MIXED_RUNS + 1)):
+            if runs[y]:
+                mixture.append((y, runs[y].pop()))
+            y = 1 - y
+        sequences.append(mixture)
+    sequences += [[(y, run)] for y in (0, 1) for run in runs[y]]
+    if not sequences:
+        return Lines(np.zeros(0, np.int64), np.zeros((0, len(CLASSES)), np.int64), np.zeros(0)), np.zeros(0, np.int64)
+    sizes = [sum(len(run) for _, run in s) for s in sequences]
+    owner = np.repeat(np.arange(len(sequences)), sizes)
+    active = np.concatenate([run for s in sequences for _, run in s]).astype(np.int64)
+    states = np.concatenate([np.full(len(run), y) for s in sequences for y, run in s])
+    ends = np.cumsum(sizes)
+    place = np.ones(len(owner), np.int64)
+    place[ends - 1] = 2
+    place[ends - sizes] = 0
+    active[:, -1] = WIDTH - 3 + place
+    return Lines(owner, active, np.ones(len(owner))), states
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> Field:
     """A field trained on about ``rows`` labelled texts.
 
-    To the driver comes one row of small numbers per line of these. Without labelled
-    rows, or with rows of one label only, every line is content.
+    To the driver comes one row of small numbers per line of these, of at most
+    ``RUNS`` x ``RUN_LINES`` lines of a text. Without labelled rows, or with rows of
+    one label only, every line is content.
     """
+    k = len(CLASSES)
 
     def work(batch, data, bounds):
         _, lines = measure(data, bounds)
         cut = np.searchsorted(lines.owner, np.arange(1, batch.num_rows))
-        return {"label": batch.column(0), "active": [x.ravel() for x in np.split(lines.active.astype(np.int16), cut)]}
+        return {"label": batch.column(0), "active": [_spread(x).ravel() for x in np.split(lines.active.astype(np.int16), cut)]}
 
     got = map_runs(sample(docs, labels, key, text, label, rows), "text", ["label", "text"], "label int, active array<short>", work).toPandas()
-    k = len(CLASSES)
-    active = [np.asarray(x, np.int64).reshape(-1, k) for x in got.active]
-    owner = np.repeat(np.arange(len(active)), [len(x) for x in active])
-    states = got.label.to_numpy(np.int64)[owner] if len(owner) else np.zeros(0, np.int64)
-    everything = np.concatenate(active) if active else np.zeros((0, k), np.int64)
-    field = train(Lines(owner, everything, np.ones(len(owner))), states)
+    lines, states = mixtures([np.asarray(x, np.int16).reshape(-1, k) for x in got.active], got.label.to_numpy(np.int64))
+    field = train(lines, states)
     return field if field.weights.any() else Field(np.zeros(WIDTH), np.zeros((2, 2)), 1.0)
 
 

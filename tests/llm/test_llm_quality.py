@@ -133,6 +133,48 @@ def test_quality_rules_on_labels(spark):
     assert good.kept.mean() > 0.99 and bad.kept.mean() < 0.05
 
 
+def test_steps_are_learnt_and_mixed_texts_lose_their_boilerplate(spark):
+    """Trained without a fold of the labels; texts of the fold are judged whole and mixed, runs of four lines by turns."""
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    apart = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    field = quality_rules.fit(docs, labels.filter(~apart))
+    stays, leaves = np.diag(field.steps), (field.steps[0, 1], field.steps[1, 0])
+    assert min(stays) > max(leaves) and len(set(np.abs(field.steps).ravel().round(3))) > 1
+    held = docs.join(labels.filter(apart), "doc_id")
+    judged = quality_rules.judge(held, field, keep=("doc_id", "quality", "text")).filter("not base_failed").toPandas()
+    assert judged.kept[judged.quality == 1].mean() > 0.99 and judged.kept[judged.quality == 0].mean() < 0.05
+    runs = {q: [r for t in judged.text[judged.quality == q] for lines in [[x for x in t.split("\n") if len(x.split()) > 7]] for r in [lines[:4]] if len(r) == 4] for q in (0, 1)}
+    right = total = 0
+    for bad, one, two in zip(runs[0], runs[1][::2], runs[1][1::2]):
+        _, lines = quality_rules.measure(*run_of("\n".join(one + bad + two)))
+        right += (quality_rules.decode(field, lines) == np.repeat([1, 0, 1], 4)).sum()
+        total += 12
+    assert total >= 120 and right / total > 0.95
+
+
+def test_mixtures_hold_every_line_once():
+    rng = np.random.RandomState(5)
+    k = len(quality_rules.CLASSES)
+    texts = [rng.randint(0, quality_rules.WIDTH - 3, (m, k)).astype(np.int16) for m in (1, 9, 0, 40, 3, 17, 2, 5)]
+    labels = np.array([0, 0, 0, 1, 1, 1, 1, 0])
+    lines, states = quality_rules.mixtures(texts, labels)
+    inner = lambda rows, ys: Counter((int(y), *map(int, r[:-1])) for r, y in zip(rows, ys))
+    assert inner(lines.active, states) == inner(np.concatenate(texts), np.repeat(labels, [len(t) for t in texts]))
+    assert (np.diff(lines.owner) >= 0).all() and (np.bincount(lines.owner) > 0).all()
+    back = quality_rules.mixtures(texts[::-1], labels[::-1])
+    assert (back[0].active == lines.active).all() and (back[1] == states).all()
+    changes = (np.diff(states) != 0) & (np.diff(lines.owner) == 0)
+    assert changes.any()
+    assert len(quality_rules.mixtures([], np.zeros(0, int))[1]) == 0
+
+
+def test_a_text_of_very_many_lines_sends_a_bounded_number():
+    long = np.arange(100_000)[:, None]
+    got = quality_rules._spread(long)
+    assert len(got) == quality_rules.RUNS * quality_rules.RUN_LINES and got[0] == 0 and got[-1] == 99_999
+    assert len(quality_rules._spread(long[:256])) == 256
+
+
 def test_quality_rules_rows(awkward, no_docs, texts):
     field = quality_rules.Field(np.zeros(quality_rules.WIDTH), np.zeros((2, 2)), 1.0)
     rows = quality_rules.judge(awkward, field).collect()
@@ -163,6 +205,21 @@ def test_votes_meet_in_labels():
     assert (weak_quality.votes_of(weak_quality.pattern_of(cast)) == cast).all()
 
 
+def test_false_alarms_follow_the_data():
+    """A labeller that calls a fifth of the good documents bad is told from one that does not."""
+    rng = np.random.RandomState(2)
+    n = 40_000
+    good = rng.rand(n) < 0.8
+    cast = np.zeros((n, len(weak_quality.LABELLERS)), int)
+    for j, (seen, false) in enumerate([(0.8, 0.2), (0.8, 0.01), (0.7, 0.01), (0.7, 0.05)]):
+        cast[:, j] = np.where(rng.rand(n) < np.where(good, false, seen), weak_quality.BAD, weak_quality.SILENT)
+    patterns, counts = np.unique(weak_quality.pattern_of(cast), return_counts=True)
+    labels = weak_quality.estimate(patterns, counts)
+    alarms = labels.rates[:, 1, weak_quality.BAD]
+    assert np.allclose(alarms[:4], [0.2, 0.01, 0.01, 0.05], atol=0.02) and abs(labels.good - 0.8) < 0.03
+    assert np.allclose(labels.rates[:4, 0, weak_quality.BAD], [0.8, 0.8, 0.7, 0.7], atol=0.04)
+
+
 def test_weak_labels_on_documents(spark):
     got = op3_quality_classifier(spark, LARGER).join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").toPandas()
     assert auc(got.score.to_numpy(), got.quality.to_numpy()) > 0.95
