@@ -7,8 +7,9 @@ before and after it, and what it stands in: an element that is a menu, header,
 footer, sidebar, form and the like by its name or by a word of its class, id or
 role, an article, a heading, a list. Words of a class may mislead, so a mark by words
 alone is told from one by name, and each block knows how much of the page's text
-stands outside such parts: where there is none, density outvotes the mark. A
-decision tree over these, grown on the labelled pages, says which blocks are main text.
+stands outside such parts: where there is none, density outvotes the mark. Blocks
+between two that are mostly links make a stretch, whose share of the page's words out
+of links is a feature of each. A decision tree over these, grown on the labelled pages, says which blocks are main text.
 """
 
 import html
@@ -67,7 +68,7 @@ _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 _CLOSE = {name: re.compile(rf"</{name}\s*[^>]*>", re.I) for name in RAW}
 _OWN = {name: re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){name}(?![a-zA-Z0-9:-])", re.I | re.S) for name in SKIPPED}
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "around", "main", "heading", "list", "hinted", "outside")
+FEATURES = ("links", "around", "main", "hinted", "outside", "links_before", "links_after", "stretch", "heading", "list", "words", "words_before", "words_after")
 
 
 @dataclass
@@ -141,9 +142,8 @@ def blocks(page: str) -> list[Block]:
             words = html.unescape("".join(parts)).split()
             if words:
                 _, around, hinted, main = stack[-1] if stack else ("", False, False, False)
-                names = {x[0] for x in stack[-6:]}
                 n = sum(len(html.unescape(x).split()) for x in linked)
-                out.append(Block(" ".join(words), len(words), min(n, len(words)), around or hinted, main, bool(names & HEADINGS), bool(names & LISTS), hinted and not around))
+                out.append(Block(" ".join(words), len(words), min(n, len(words)), around or hinted, main, any(opened[x] > 0 for x in HEADINGS), any(opened[x] > 0 for x in LISTS), hinted and not around))
             parts, linked = [], []
 
     def take(text: str) -> None:
@@ -215,7 +215,10 @@ def features(found: list[Block]) -> np.ndarray:
     """One row per block, columns as in ``FEATURES``. Beyond the page's ends there are no words.
 
     ``outside`` is the share of the page's words out of links that stand in no part
-    marked as around, and 1 if such words stand in a main text.
+    marked as around, and 1 if such words stand in a main text. ``stretch`` is the share
+    of the page's words out of links that stand in the block's stretch: the neighbours up
+    to the next block of more than half links, or to the border of a part marked as around or as main text. A text
+    lies in a large one, a notice among menus in a small one, however short its blocks.
     """
     n = len(found)
     words = np.array([0, *(b.words for b in found), 0], float)
@@ -225,7 +228,15 @@ def features(found: list[Block]) -> np.ndarray:
     clear = flags[:, 0] == 0
     outside = 1.0 if (plain[clear & (flags[:, 1] == 1)] > 0).any() else plain[clear].sum() / max(plain.sum(), 1.0)
     hinted = [float(b.hinted) for b in found]
-    return np.column_stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], flags, hinted, np.full(n, outside)])
+    dense = links[1:-1] > 0.5
+    border = np.ones(n, bool)
+    border[1:] = dense[1:] | dense[:-1] | (flags[1:, :2] != flags[:-1, :2]).any(axis=1)
+    number = np.cumsum(border) - 1
+    stretch = np.where(dense, 0.0, np.bincount(number, weights=plain)[number] / max(plain.sum(), 1.0)) if n else plain
+    around, main, heading, listed = flags.T
+    return np.column_stack([
+        links[1:-1], around, main, hinted, np.full(n, outside), links[:-2], links[2:], stretch, heading, listed, words[1:-1], words[:-2], words[2:],
+    ])
 
 
 @dataclass
@@ -248,7 +259,7 @@ class Tree:
         return np.array(self.share)[node] >= 0.5
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 1) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 1) -> Tree:
     """A tree by Gini impurity. Of equal splits the first feature and the lowest value win."""
     tree = Tree([], [], [], [], [])
 

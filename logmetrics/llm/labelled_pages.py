@@ -9,6 +9,10 @@ P2 = "People who had lived there all their lives could not remember a winter lik
 P3 = "Nobody spoke."
 P4 = "When the ice broke, the council met in the old hall, counted what was left in the stores and wrote a plain report about the damage to the quays."
 
+TOPICS = "boats nets quays cranes ice tides fish salt rope wind sails tar oars crews storms maps".split()
+MENU = "<div>" + " ".join(f"<a href='/{k}'>All about {k}</a>" for k in TOPICS) + "</div>"
+LONG_MENU = "<ul><li>" + " | ".join(f"<a href='/{k}/{n}'>{k} of the {n}</a>" for k in TOPICS[:8] for n in ("coast", "north")) + "</li></ul>"
+
 PAGES = [
     [  # article with everything around it
         ("<head><title>Harbour</title></head><body><nav><ul><li><a href='/'>Home</a></li>", 0),
@@ -116,4 +120,92 @@ PAGES = [
         ("<div class='login'><p>Please sign in to go on.</p>", 0), ("<p>Your name</p>", 0), ("<p><a href='/f'>Forgot it?</a></p></div>", 0),
         ("<div class='cookie'><p>We use cookies.</p></div>", 0),
     ],
+    [  # no names at all: a long menu, short headings, list items, two notices
+        ("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", 0),
+        ("<div>" + " ".join(f"<a href='/{k}'>All about {k}</a>" for k in ("boats", "nets", "quays", "cranes", "ice", "tides", "fish", "salt", "rope")) + "</div>", 0),
+        ("<h1>The ice of that year</h1>", 1), (f"<p>{P1}</p>", 1), ("<h2>Background</h2>", 1), (f"<p>{P2} {P4}</p>", 1), ("<p>Nobody spoke.</p>", 1),
+        ("<ul><li>Two quays lost</li>", 1), ("<li>One crane bent</li>", 1), ("<li>No boats</li></ul>", 1), (f"<p>{P1}</p>", 1),
+        ("<div><a href='/i'>Imprint</a> <a href='/t'>Terms</a></div>", 0),
+        ("<div>&copy; Harbour Post. All rights reserved, and no part of it may be printed again anywhere without leave.</div>", 0),
+        ("<div><p>This site sets cookies to count visits and to know you again. Who reads on agrees to that.</p></div>", 0),
+    ],
+    [  # a notice before the menu
+        ("<div><p>This site keeps small files on your machine to work and to count visits. Please agree to go on.</p></div>", 0),
+        ("<div><a href='/'>Home</a> <a href='/n'>News</a> <a href='/a'>About us</a></div>", 0),
+        ("<h1>Storm</h1>", 1), (f"<p>{P4}</p>", 1), ("<p>By noon.</p>", 1), (f"<p>{P2}</p>", 1), (f"<p>{P1}</p>", 1),
+        ("<div><a href='/i'>Imprint</a></div>", 0), ("<div>Printed on the coast.</div>", 0),
+    ],
+    [  # a poem
+        ("<div><a href='/'>Home</a> <a href='/p'>Poems</a></div>", 0), ("<h1>Quay</h1>", 1), ("<p>The boats are in,</p>", 1), ("<p>the nets are dry,</p>", 1),
+        ("<p>a gull walks by</p>", 1), ("<p>the harbour wall.</p>", 1), ("<p>It does not cry,</p>", 1), ("<p>it is not late,</p>", 1),
+        ("<div><a href='/o'>Older</a> <a href='/i'>Imprint</a></div>", 0), ("<div>All rights reserved.</div>", 0),
+    ],
+    [  # one sentence
+        ("<div><a href='/'>Home</a></div>", 0), (f"<p>{P1}</p>", 1), ("<div><a href='/i'>Imprint</a></div>", 0),
+    ],
+    [
+        ("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", 0), ("<p>The ferry is late today.</p>", 1), ("<div><a href='/i'>Imprint</a></div>", 0),
+    ],
+    [  # a long menu inside an article, without a name
+        ("<nav><a href='/'>Home</a></nav>", 0), ("<article><h1>Salt</h1>", 1), (f"<p>{P4}</p>", 1),
+        ("<div>" + " ".join(f"<a href='/{k}'>All about {k}</a>" for k in ("boats", "nets", "quays", "cranes", "ice", "tides", "fish", "salt", "rope", "wind")) + "</div>", 0),
+        (f"<p>{P2}</p></article>", 1), ("<div>&copy; Harbour Post. All rights reserved, and no part of it may be printed again anywhere without leave.</div>", 0),
+    ],
+    [  # nothing but the text
+        ("<h1>Nets</h1>", 1), (f"<p>{P1}</p>", 1), (f"<p>{P4} {P2}</p>", 1), ("<p>Done.</p>", 1),
+    ],
+    [("<p>The ferry is late today.</p>", 1)],
+    [(f"<div>{P4} {P1}</div>", 1), (f"<div>{P2}</div>", 1)],
+    [
+        ("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", 0), ("<h1>Rope</h1>", 1), (f"<p>{P2} {P4}</p>", 1), ("<p>That was all.</p>", 1),
+    ],
+    [("<article><h1>Ice</h1>", 1), (f"<p>{P2}</p>", 1), (f"<p>{P4} {P1} {P2}</p></article>", 1)],
+    [  # long paragraphs between lines of links, in an article
+        ("<nav><a href='/'>Home</a></nav>", 0), ("<article><h1>Three harbours</h1>", 1), (f"<p>{P1} {P4}</p>", 1), ("<p><a href='/1'>The first harbour</a></p>", 1),
+        (f"<p>{P4} {P2}</p>", 1), ("<p><a href='/2'>The second harbour and its quays</a></p>", 1), (f"<p>{P2} {P1} {P4}</p>", 1), ("<p><a href='/3'>Third</a></p>", 1),
+        (f"<p>{P4} {P1}</p>", 1), ("<p>Cold.</p></article>", 1), ("<footer>Imprint</footer>", 0),
+    ],
+    [  # the same without names
+        ("<div><a href='/'>Home</a></div>", 0), ("<h1>Three harbours of the coast</h1>", 1), (f"<p>{P1} {P4}</p>", 1), ("<div><a href='/1'>More on it</a></div>", 0),
+        (f"<p>{P4} {P2}</p>", 1), (f"<p>{P2} {P1}</p>", 1), ("<div><a href='/2'>More on the second harbour</a></div>", 0), (f"<p>{P2} {P1} {P4}</p>", 1), (f"<p>{P4} {P1}</p>", 1),
+        ("<div><a href='/3'>All harbours</a></div>", 0), (f"<p>{P4} {P2} {P1}</p>", 1), ("<div><a href='/i'>Imprint</a> <a href='/t'>Terms</a></div>", 0),
+    ],
+    [  # remarks longer than the article
+        ("<nav><a href='/'>Home</a></nav>", 0), ("<article><h1>Fish</h1>", 1), (f"<p>{P1}</p></article>", 1),
+        (f"<div class='comments'><p>{P2} {P4}</p>", 0), ("<p>Me too.</p>", 0), (f"<p>{P4} {P1} {P2}</p>", 0), ("<p>So it was, and worse.</p></div>", 0), ("<footer>Imprint</footer>", 0),
+    ],
+    [
+        ("<div class='banner'><p>Half the price, today only.</p>", 0), (f"<p>{P2} {P4}</p></div>", 0), ("<main><h1>Salt</h1>", 1), ("<p>It is dear.</p></main>", 1),
+        (f"<aside><p>{P4}</p>", 0), (f"<p>{P1} {P2}</p></aside>", 0),
+    ],
+    [  # long menus between short and long texts, without names
+        (MENU, 0), ("<h1>Tar and rope</h1>", 1), (f"<p>{P4} {P1}</p>", 1), ("<p>It dried.</p>", 1), (LONG_MENU, 0), (f"<p>{P2} {P4}</p>", 1), (f"<p>{P1} {P2}</p>", 1),
+        ("<div><a href='/i'>Imprint</a></div>", 0), (LONG_MENU, 0), (MENU, 0), ("<div>Harbour Post, printed on the coast since long before your time, by hand.</div>", 0),
+    ],
+    [
+        (LONG_MENU, 0), (MENU, 0), (f"<div>{P2} {P1}</div>", 1), (MENU, 0),
+    ],
+    [  # a short article at the end, after something named around it
+        ("<div class='promo'><p>Warm coats at half the price, today only, in all our shops.</p></div>", 0), ("<article><h1>Late boats</h1>", 1),
+        ("<p>They came at noon.</p>", 1), ("<p>All of them, with full nets and cold hands.</p>", 1), ("<p>Good.</p></article>", 1),
+    ],
+    [
+        ("<footer><p>Printed by us.</p></footer>", 0), ("<article><h1>Tar</h1>", 1), ("<p>It is black.</p>", 1), ("<p>Smell it.</p></article>", 1),
+    ],
+    [
+        ("<aside><p>More on tar, on rope and on all that is sold on the quay.</p></aside>", 0), ("<main><p>It is sold out, and nobody knows when more will come.</p>", 1), ("<p>Wait.</p></main>", 1),
+    ],
+    [  # the same the other way round
+        ("<article><h1>Low tide</h1>", 1), ("<p>Walk with care.</p>", 1), ("<p>Stay near the wall until noon.</p>", 1), ("<p>Go.</p></article>", 1),
+        ("<div class='ad'>Boots, dry and warm, at the market this week only.</div>", 0),
+    ],
+    [
+        ("<article><h1>High tide</h1>", 1), ("<p>Wait.</p></article>", 1), ("<form><label>Your name</label>", 0), ("<button>Send it</button></form>", 0),
+    ],
+    [  # named by its topic, with a footer right behind
+        ("<div class='popular'><p><a href='/'>Start</a> <a href='/n'>Coast</a></p>", 0), (f"<p>{P2}</p>", 1), (f"<p>{P1} {P4}</p></div>", 1), ("<div class='footer'>Contact</div>", 0),
+    ],
+    [
+        ("<div class='sharing'><p><a href='/'>Start</a></p>", 0), (f"<p>{P4}</p>", 1), (f"<p>{P2} {P1}</p></div>", 1), ("<div class='foot'>All rights reserved</div>", 0),
+    ],
 ]

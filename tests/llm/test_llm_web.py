@@ -5,6 +5,7 @@ import random
 import re
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,41 @@ def test_what_stands_around_goes(around):
     assert text_of(f"<html><body>{BODY}{around}</body></html>") == WANT
 
 
+SENTENCE = "The miller carried two sacks over the bridge before dawn and nobody in the village heard the wheels turn."
+RIVER = "The river had risen in the night, and by noon the lower fields were one long sheet of grey water."
+LINKS = "<div><a href='/a'>Home</a> <a href='/b'>News</a> <a href='/c'>Contact</a></div>"
+BIG_MENU = "<div>" + " ".join(f"<a href='/{i}'>Section {i} pages</a>" for i in range(12)) + "</div>"
+COOKIES = "<div><p>We use small files to remember your choices and to count visits. By going on you agree to our rules.</p></div>"
+RIGHTS = "<div>&copy; 2024 River Press. All rights reserved. No part of this page may be copied without written leave.</div>"
+STORY = ["The flood of that spring", SENTENCE, "Introduction", f"{RIVER} {SENTENCE}", "Then it ended.", "Two sacks lost", "One bridge gone", "A mill in ruins", RIVER]
+STORY_HTML = "<h1>{}</h1><p>{}</p><h2>{}</h2><p>{}</p><p>{}</p><ul><li>{}</li><li>{}</li><li>{}</li></ul><p>{}</p>".format(*STORY)
+POEM = ["Heron", "The moon is low", "and the reeds are still", "a heron stands", "upon the hill", "it does not move", "it does not call", "the night goes by", "and that is all"]
+
+
+@pytest.mark.parametrize("page, want", [
+    (LINKS + BIG_MENU + STORY_HTML + LINKS, STORY), (COOKIES + LINKS + STORY_HTML + LINKS + RIGHTS, STORY), (LINKS + STORY_HTML + LINKS + RIGHTS + COOKIES, STORY),
+    (LINKS + "".join(f"<p>{x}</p>" for x in POEM) + LINKS, POEM), (LINKS + f"<p>{SENTENCE}</p>" + LINKS, [SENTENCE]), (f"<p>{SENTENCE}</p>", [SENTENCE]),
+    (LINKS + f"<article><h1>Flood</h1><p>{SENTENCE}</p>{BIG_MENU}<p>{RIVER}</p></article>" + RIGHTS, ["Flood", SENTENCE, RIVER]), (STORY_HTML, STORY),
+])
+def test_densities_decide_where_no_name_helps(page, want):
+    assert text_of(page).split("\n") == want
+
+
+def test_a_heading_however_deep_is_one():
+    assert html.blocks("<h2>" + "<span class=x>" * 9 + "Deep" + "</span>" * 9 + "</h2>")[0].heading
+
+
+def test_labelled_pages_held_out():
+    """Each labelled page judged by the tree of the others, in words."""
+    kept = right = wanted = 0
+    for i, page in enumerate(html.PAGES):
+        found = html.blocks("".join(piece for piece, _ in page))
+        words, label = np.array([b.words for b in found]), np.array([y for _, y in page if y >= 0])
+        got = html.learn(html.PAGES[:i] + html.PAGES[i + 1 :]).keeps(html.features(found))
+        kept, right, wanted = kept + words[got].sum(), right + words[got & (label == 1)].sum(), wanted + words[label == 1].sum()
+    assert right / kept > 0.85 and right / wanted > 0.85
+
+
 def test_page_without_helpful_names():
     long = "The ice came early that year and nobody in the whole village could remember anything like it at all. "
     page = f"<div><a href='/'>Home</a> <a href='/n'>News</a></div><div>{long}</div><div>{long * 2}</div><div><a href='/i'>Imprint</a></div>"
@@ -161,7 +197,7 @@ def test_page_rows(spark):
 
 def test_the_tree_is_grown_from_its_table():
     tree = html.learn()
-    assert {html.FEATURES[f] for f in tree.feature if f >= 0} >= {"around", "main", "words"}
+    assert {html.FEATURES[f] for f in tree.feature if f >= 0} >= {"around", "main", "words", "links", "stretch"}
     with pytest.raises(ValueError):
         html.learn([[("<p>a</p><p>b</p>", 1)]])
 
