@@ -103,23 +103,37 @@ def _(spark, sf_dir):
     return heavy.heavy_components(entries.valid_entries(_parsed(spark, sf_dir)))
 
 
-def _in_buckets(spark, parsed):
-    name = f"entries_{uuid.uuid4().hex}"
-    return bucketed.store_in_buckets(parsed, name, new_path(spark, "bucketed"), buckets=16)
+def _in_buckets(spark, parsed, lines, work):
+    """``work`` per container, on entries stored in buckets for so many lines."""
+    name, path = f"entries_{uuid.uuid4().hex}", new_path(spark, "bucketed")
+    stored = bucketed.store_in_buckets(parsed, name, path, buckets=bucketed.buckets_for(lines))
+    return bucketed.per_container(stored, path, work)
+
+
+def _task_lines(spark, sf_dir):
+    """At most: a start and an end to an order."""
+    return 2 * _table(spark, sf_dir, "orders").count()
+
+
+def _event_lines(spark, sf_dir):
+    return _table(spark, sf_dir, "events").count()
 
 
 @query("bucketed_task_durations", _TASKS_SQL + " SELECT * FROM durations")
 def _(spark, sf_dir):
-    stored = _in_buckets(spark, entries.parse_entries(R.tasks(spark, sf_dir)))
+    name, path = f"entries_{uuid.uuid4().hex}", new_path(spark, "bucketed")
+    stored = bucketed.store_in_buckets(entries.parse_entries(R.tasks(spark, sf_dir)), name, path, buckets=16)
     return tasks.task_durations(tasks.task_spans(tasks.task_events(stored)))
 
 
 @query("bucketed_failures", ORACLES["failures"])
 def _(spark, sf_dir):
-    both = union_all([R.tasks(spark, sf_dir), R.logs(spark, sf_dir)])
-    return tasks.failures(entries.valid_entries(_in_buckets(spark, entries.parse_entries(both))))
+    parsed = entries.parse_entries(union_all([R.tasks(spark, sf_dir), R.logs(spark, sf_dir)]))
+    lines = _task_lines(spark, sf_dir) + _event_lines(spark, sf_dir)
+    return _in_buckets(spark, parsed, lines, lambda e: tasks.failures(entries.valid_entries(e)))
 
 
 @query("bucketed_memory_usage", ORACLES["memory_usage"])
 def _(spark, sf_dir):
-    return memory.memory_usage(events.memory_blocks(_in_buckets(spark, entries.parse_entries(R.messages(spark, sf_dir)))))
+    parsed = entries.parse_entries(R.messages(spark, sf_dir))
+    return _in_buckets(spark, parsed, _event_lines(spark, sf_dir), lambda e: memory.memory_usage(events.memory_blocks(e)))

@@ -85,3 +85,54 @@ def test_ties_fewer_values_and_no_rows(spark):
 def test_heavy_components(spark):
     parsed = entries.valid_entries(entries.parse_entries(rendered.logs(spark, DATA)))
     assert rows(heavy.heavy_components(parsed, 4)) == rows(levels.top_components(parsed, 4))
+
+
+def part_files(spark, name):
+    return {f for f in spark.table(name).inputFiles() if "/part-" in f}
+
+
+def test_a_large_container_is_written_in_parts(spark):
+    # One container of some 25 MB packed. No task sorts it whole; before, its bucket was one task and one file.
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting, None)
+    text = F.concat(F.lit("17/03/29 10:00:00 INFO a.A: "), *[F.sha2(F.concat("id", F.lit(x)), 512) for x in "ab"])
+    lines = spark.range(0, 100_000, 1, 4).select(text.alias("value"), F.lit("/application_1_0001/container_1_0001_01_000002.log").alias("file_path"))
+    stored = bucketed.store_in_buckets(entries.parse_entries(lines), "entries_large", rendered.new_path(spark, "b"), buckets=4)
+    assert len(part_files(spark, "entries_large")) > 1
+    assert stored.count() == 100_000 and stored.select("raw").distinct().count() == 100_000
+    assert spark.conf.get(setting, None) == before
+    spark.sql("DROP TABLE entries_large")
+
+
+def test_buckets_follow_the_lines():
+    assert [bucketed.buckets_for(n) for n in (0, 1, 4_000_000, 5_000_001, 10**10)] == [16, 16, 16, 21, 200]
+
+
+@pytest.mark.parametrize("name, lines", [("bucketed_failures", 4_000), ("bucketed_memory_usage", 1_000)])
+def test_more_lines_more_buckets(spark, monkeypatch, name, lines):
+    monkeypatch.setattr(bucketed, "BUCKET_LINES", lines // 25)
+    found = plan(QUERIES[name](spark, DATA))
+    assert "out of 25" in found and "out of 16" not in found
+
+
+@pytest.mark.parametrize("name", ["bucketed_failures", "bucketed_memory_usage"])
+def test_large_containers_are_shuffled(spark, monkeypatch, name):
+    # Of the containers, only the lines without one ('') are so many.
+    monkeypatch.setattr(bucketed, "CONTAINER_LINES", 20)
+    got, want = QUERIES[name](spark, DATA), QUERIES[WORK[name]](spark, DATA)
+    got.collect()
+    assert any("Exchange" in n.nodeName() and "Broadcast" not in n.nodeName() for n in nodes(got))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 9])
+def test_per_container_keeps_every_row(spark, most):
+    path = lambda seq: f"/application_1_0001/container_1_0001_01_00000{seq}.log"
+    files = [path(1)] * 3 + [path(2)] * 2 + [path(3)] + [None] * 4 + ["/misc/x.log"] * 2
+    lines = spark.createDataFrame([(f"17/03/29 10:00:0{i % 9} INFO a.A: {i}", f) for i, f in enumerate(files)], "value string, file_path string")
+    parsed, at = entries.parse_entries(lines), rendered.new_path(spark, "b")
+    stored = bucketed.store_in_buckets(parsed, f"entries_most_{most}", at, buckets=3)
+    got = bucketed.per_container(stored, at, lambda e: e.groupBy("container_id").agg(F.count("*").alias("n"), F.min("raw").alias("first")), most)
+    assert sorted(map(str, got.collect())) == sorted(map(str, stored.groupBy("container_id").agg(F.count("*").alias("n"), F.min("raw").alias("first")).collect()))
+    assert sorted(r["n"] for r in got.collect()) == [1, 2, 2, 3, 4]
+    spark.sql(f"DROP TABLE entries_most_{most}")
