@@ -121,9 +121,8 @@ def _event_lines(spark, sf_dir):
 
 @query("bucketed_task_durations", _TASKS_SQL + " SELECT * FROM durations")
 def _(spark, sf_dir):
-    name, path = f"entries_{uuid.uuid4().hex}", new_path(spark, "bucketed")
-    stored = bucketed.store_in_buckets(entries.parse_entries(R.tasks(spark, sf_dir)), name, path, buckets=16)
-    return tasks.task_durations(tasks.task_spans(tasks.task_events(stored)))
+    parsed = entries.parse_entries(R.tasks(spark, sf_dir))
+    return _in_buckets(spark, parsed, _task_lines(spark, sf_dir), lambda e: tasks.task_durations(tasks.task_spans(tasks.task_events(e))))
 
 
 @query("bucketed_failures", ORACLES["failures"])

@@ -108,14 +108,14 @@ def test_buckets_follow_the_lines():
     assert [bucketed.buckets_for(n) for n in (0, 1, 4_000_000, 5_000_001, 10**10)] == [16, 16, 16, 21, 200]
 
 
-@pytest.mark.parametrize("name, lines", [("bucketed_failures", 4_000), ("bucketed_memory_usage", 1_000)])
+@pytest.mark.parametrize("name, lines", [("bucketed_failures", 4_000), ("bucketed_memory_usage", 1_000), ("bucketed_task_durations", 3_000)])
 def test_more_lines_more_buckets(spark, monkeypatch, name, lines):
     monkeypatch.setattr(bucketed, "BUCKET_LINES", lines // 25)
     found = plan(QUERIES[name](spark, DATA))
     assert "out of 25" in found and "out of 16" not in found
 
 
-@pytest.mark.parametrize("name", ["bucketed_failures", "bucketed_memory_usage"])
+@pytest.mark.parametrize("name", sorted(WORK))
 def test_large_containers_are_shuffled(spark, monkeypatch, name):
     # Of the containers, only the lines without one ('') are so many.
     monkeypatch.setattr(bucketed, "CONTAINER_LINES", 20)
